@@ -42,8 +42,11 @@ def parse_int(c: Column) -> Column:
 
 
 def clean_number(c: Column) -> Column:
-    """Double from text after dropping everything but digits, dots and minus signs."""
-    return F.nullif(F.regexp_replace(c, NOT_NUMERIC, ""), F.lit("")).try_cast("double")
+    """Double from text after dropping everything but digits, dots and minus signs.
+
+    An empty rest, a lone dash or a second dot fails the cast and becomes null.
+    """
+    return F.regexp_replace(c, NOT_NUMERIC, "").try_cast("double")
 
 
 def clean_text(c: Column) -> Column:

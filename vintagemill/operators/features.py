@@ -50,24 +50,25 @@ def mob_filter(loans: DataFrame, mob: int = FEATURE_MOB) -> DataFrame:
     return loans.where(F.col("mob") == mob)
 
 
-# Partial aggregates of a group of loans, and how partials of one customer merge.
-LOAN_PARTIALS: dict[str, tuple[Column, Callable[[str], Column]]] = {
-    "_loans": (F.count("loan_id"), F.sum),
-    "_amount_max": (F.max("loan_amt"), F.max),
-    "_amount_sum": (F.sum(F.col("loan_amt").cast("double")), F.sum),
-    "_amount_n": (F.count("loan_amt"), F.sum),
-    "_tenure_max": (F.max("tenure"), F.max),
-    "_tenure_sum": (F.sum("tenure"), F.sum),
-    "_tenure_n": (F.count("tenure"), F.sum),
-    "_balance_max": (F.max("balance"), F.max),
-    "_balance_sum": (F.sum(F.col("balance").cast("double")), F.sum),
-    "_balance_n": (F.count("balance"), F.sum),
+# Partial aggregates of a group of loans: the aggregate, its column, and how the
+# partials of one customer merge.
+LOAN_PARTIALS: dict[str, tuple[Callable, str, Callable]] = {
+    "_loans": (F.count, "loan_id", F.sum),
+    "_amount_max": (F.max, "loan_amt", F.max),
+    "_amount_sum": (F.sum, "loan_amt", F.sum),
+    "_amount_n": (F.count, "loan_amt", F.sum),
+    "_tenure_max": (F.max, "tenure", F.max),
+    "_tenure_sum": (F.sum, "tenure", F.sum),
+    "_tenure_n": (F.count, "tenure", F.sum),
+    "_balance_max": (F.max, "balance", F.max),
+    "_balance_sum": (F.sum, "balance", F.sum),
+    "_balance_n": (F.count, "balance", F.sum),
 }
 
 
 def loan_partials(loans: DataFrame, keys: Sequence[str], mob: int = FEATURE_MOB) -> DataFrame:
     """Loans at ``mob`` pre-aggregated by ``keys``."""
-    aggregates = [agg.alias(name) for name, (agg, _) in LOAN_PARTIALS.items()]
+    aggregates = [agg(c).alias(name) for name, (agg, c, _) in LOAN_PARTIALS.items()]
     return mob_filter(loans, mob).groupBy(*keys).agg(*aggregates)
 
 

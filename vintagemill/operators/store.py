@@ -122,7 +122,10 @@ def _spine_with_loan_features(
         rows = rows.unionByName(fallback, allowMissingColumns=True)
     month_of_customer = Window.partitionBy(*KEYS)
     merged = rows.withColumns(
-        {name: merge(name).over(month_of_customer) for name, (_, merge) in LOAN_PARTIALS.items()}
+        {
+            name: merge(name).over(month_of_customer)
+            for name, (_, _, merge) in LOAN_PARTIALS.items()
+        }
     )
     known = F.col("Customer_ID").isNotNull()
     features = [F.when(known, c).alias(name) for name, c in loan_feature_columns().items()]

@@ -4,7 +4,8 @@ Layout below the store root::
 
     bronze/<dataset>         partitioned by source_date
     silver/<dataset>         partitioned by source_date
-    served/<dataset>         which source date serves which processing_date
+    served/<dataset>         which source date serves which processing_date, for
+                             datasets where that is not the month itself
     gold/feature_store       partitioned by processing_date
     gold/label_store         partitioned by label_def, processing_date
 
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 
 from ..config import DATASETS, DPD_THRESHOLD, FEATURE_MOB, LABEL_MOB, SKIP, DatasetSpec
 from ..operators.bronze import dataset_source_map, source_slices, with_bronze_lineage
+from ..operators.calendar import month_calendar
+from ..operators.checks import source_usage
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
 from ..operators.store import Snapshots, feature_store, with_gold_metadata
-from ..sources.files import path_exists, read_csv_strings, read_table, write_table
+from ..sources.files import path_exists, read_csv_strings, read_table, table_exists, write_table
 
 DONE, MISSING, FAILED = "done", "missing", "failed"
 LOG_COLUMNS = ("layer", "dataset", "status", "error")
@@ -67,7 +70,7 @@ class Store:
         return f"{self.root}/{layer}/{name}"
 
     def has(self, layer: str, name: str) -> bool:
-        return path_exists(self.spark, self.path(layer, name))
+        return table_exists(self.spark, self.path(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, self.path(layer, name))
@@ -84,37 +87,50 @@ class Store:
             ["processing_date"],
         )
 
-    def served(self, dataset: str, calendar: DataFrame | None = None) -> DataFrame:
-        """The month map of a dataset, optionally only for given months."""
-        served = self.read("served", dataset)
-        if calendar is None:
-            return served
-        return served.join(F.broadcast(calendar), "processing_date", "left_semi")
+    def served(self, dataset: str, calendar: DataFrame | None = None) -> DataFrame | None:
+        """The month map of a dataset, or nothing where months serve themselves."""
+        if not self.has("served", dataset):
+            return None
+        return _in_calendar(self.read("served", dataset), "processing_date", calendar)
 
     def snapshots(
         self, layer: str, dataset: str, calendar: DataFrame | None = None
     ) -> Snapshots | None:
-        """A dataset with its month map, or nothing where it was never loaded."""
+        """A dataset with its month map, or nothing where it was never loaded.
+
+        The months prune the partitions read, at run time.
+        """
         if not self.has(layer, dataset):
             return None
-        return Snapshots(self.read(layer, dataset), self.served(dataset, calendar))
+        rows, served = self.read(layer, dataset), self.served(dataset, calendar)
+        if served is not None:
+            return Snapshots(rows, served)
+        own = _in_calendar(rows, "source_date", calendar)
+        return Snapshots(own.withColumn("processing_date", F.col("source_date")))
 
     def months(self, layer: str, dataset: str, calendar: DataFrame | None = None) -> DataFrame:
-        """Rows of a dataset per ``processing_date``; the months prune partitions at run time."""
-        return _fan_out(self.read(layer, dataset), self.served(dataset, calendar))
+        """Rows of a dataset for each ``processing_date``, their date stamps set to it."""
+        found = self.snapshots(layer, dataset, calendar)
+        if found is None:
+            raise ValueError(f"no {layer} table of {dataset}")
+        if found.served is None:
+            return found.frame
+        fanned = found.frame.join(F.broadcast(found.served), "source_date")
+        day = F.date_format("processing_date", "yyyy-MM-dd")
+        stamps = ("bronze_processing_date", "silver_processing_date")
+        return fanned.withColumns({c: day for c in stamps if c in fanned.columns})
 
     def month(self, layer: str, dataset: str, month: dt.date) -> DataFrame:
         """Rows of one month of a dataset."""
-        served = self.served(dataset).where(F.col("processing_date") == F.lit(month))
-        return _fan_out(self.read(layer, dataset), served)
+        return self.months(layer, dataset, month_calendar(self.spark, month, month))
 
 
-def _fan_out(rows: DataFrame, served: DataFrame) -> DataFrame:
-    """Rows of each month, their processing dates set to it."""
-    fanned = rows.join(F.broadcast(served), "source_date")
-    day = F.date_format("processing_date", "yyyy-MM-dd")
-    stamps = ("bronze_processing_date", "silver_processing_date")
-    return fanned.withColumns({c: day for c in stamps if c in fanned.columns})
+def _in_calendar(df: DataFrame, day: str, calendar: DataFrame | None) -> DataFrame:
+    """Rows whose day is a calendar month; a calendar has one row per month."""
+    if calendar is None:
+        return df
+    months = F.broadcast(calendar.withColumnRenamed("processing_date", day))
+    return df.join(months, day, "left_semi")
 
 
 def run_bronze(
@@ -154,13 +170,6 @@ def _bronze(
         rows = source_slices(source, store.served(spec.name, calendar), spec.date_column)
     lined = with_bronze_lineage(rows, source_file, F.col("source_date"))
     store.write(lined, "bronze", spec.name, ["source_date"])
-    if spec.fallback == SKIP and "processed_date" not in lined.columns:
-        # The partitions now on disk say which requested months had rows.
-        dates = store.read("bronze", spec.name).select("source_date").distinct()
-        loaded = dates.withColumn("processing_date", F.col("source_date"))
-        store.write_served(
-            loaded.join(F.broadcast(calendar), "processing_date", "left_semi"), spec.name
-        )
     return True
 
 
@@ -177,8 +186,12 @@ def _silver(store: Store, dataset: str, calendar: DataFrame | None) -> bool:
         return False
     bronze = store.read("bronze", dataset)
     if calendar is not None:
-        dates = store.served(dataset, calendar).select("source_date").distinct()
-        bronze = bronze.join(F.broadcast(dates), "source_date", "left_semi")
+        served = store.served(dataset, calendar)
+        if served is None:
+            bronze = _in_calendar(bronze, "source_date", calendar)
+        else:
+            dates = served.select("source_date").distinct()
+            bronze = bronze.join(F.broadcast(dates), "source_date", "left_semi")
     rows = with_silver_metadata(CLEANERS[dataset](bronze), F.col("source_date"))
     store.write(rows, "silver", dataset, ["source_date"])
     return True
@@ -256,10 +269,9 @@ def run_report(store: Store, calendar: DataFrame, layer: str = "bronze") -> Data
 
 def month_counts(store: Store, layer: str, dataset: str) -> DataFrame:
     """Rows that each served month takes, counted per stored date before the fan-out."""
-    per_date = store.read(layer, dataset).groupBy("source_date").agg(F.count(F.lit(1)).alias("rows"))
-    served = store.read("served", dataset)
-    return served.join(F.broadcast(per_date), "source_date").select(
-        F.lit(dataset).alias("dataset"), "processing_date", "rows"
+    used = source_usage(store.snapshots(layer, dataset))
+    return used.groupBy(F.lit(dataset).alias("dataset"), "processing_date").agg(
+        F.sum("rows").alias("rows")
     )
 
 

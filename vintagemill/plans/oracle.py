@@ -152,7 +152,9 @@ financials AS (
 
 CLICKSTREAM = """
 events_excess AS (
-  SELECT user_id, event_type, CAST(value AS DECIMAL(18,2)) - 50 AS excess FROM events
+  SELECT user_id, event_type, CAST(date_trunc('month', ts) AS DATE) AS month,
+         CAST(value AS DECIMAL(18,2)) - 50 AS excess
+  FROM events
 ),
 users AS (
   SELECT 'C' || user_id AS "Customer_ID",
@@ -161,8 +163,8 @@ users AS (
          CAST(sum(excess) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS fe_3,
          CAST(sum(excess) FILTER (WHERE event_type = 'signup') AS DOUBLE) AS fe_4,
          CAST(sum(excess) FILTER (WHERE event_type = 'view') AS DOUBLE) AS fe_5,
-         DATE '2024-01-01' AS snapshot_date
-  FROM events_excess GROUP BY user_id
+         month AS snapshot_date
+  FROM events_excess GROUP BY user_id, month
 ),
 totals AS (
   SELECT *,
@@ -187,6 +189,15 @@ calendar AS (
            INTERVAL 1 MONTH)) AS DATE) AS processing_date
 )"""
 
+# Which clickstream month serves each calendar month: its own, else the newest.
+SERVED = CALENDAR + """,
+served AS (
+  SELECT processing_date,
+         CASE WHEN processing_date IN (SELECT snapshot_date FROM clickstream) THEN processing_date
+              ELSE (SELECT max(snapshot_date) FROM clickstream) END AS source_date
+  FROM calendar
+)"""
+
 RATES = LOANS + """,
 rates AS (
   SELECT mob, count(DISTINCT loan_id) AS total_loans,
@@ -261,7 +272,8 @@ attribute_features AS (
 def _clickstream_features(ratio: str) -> str:
     return f"""
 clickstream_features AS (
-  SELECT "Customer_ID", total_positive_features AS clickstream_positive_activity,
+  SELECT snapshot_date, "Customer_ID",
+         total_positive_features AS clickstream_positive_activity,
          total_negative_features AS clickstream_negative_activity,
          feature_balance_ratio AS clickstream_balance_ratio,
          fe_1 AS clickstream_fe_1, fe_2 AS clickstream_fe_2, fe_3 AS clickstream_fe_3,
@@ -290,7 +302,7 @@ spine AS (
   WHERE snapshot_date NOT IN (SELECT snapshot_date FROM loans WHERE mob = 0)
   UNION ALL
   SELECT DISTINCT processing_date, "Customer_ID", snapshot_date
-  FROM clickstream CROSS JOIN calendar
+  FROM clickstream JOIN served ON snapshot_date = source_date
   WHERE processing_date NOT IN (SELECT snapshot_date FROM loans WHERE mob = 0)
     AND processing_date NOT IN
         (SELECT snapshot_date FROM attributes WHERE snapshot_date IS NOT NULL)
@@ -345,12 +357,12 @@ def _customers(*parts: str) -> str:
 
 
 BOTH = _customers(ATTRIBUTES, FINANCIALS)
-LOANS_ATTRIBUTES_CLICKS = (LOANS, ATTRIBUTES, CLICKSTREAM, CALENDAR)
+LOANS_ATTRIBUTES_CLICKS = (LOANS, ATTRIBUTES, CLICKSTREAM, SERVED)
 STORE = (
     LOANS,
     BOTH,
     CLICKSTREAM,
-    CALENDAR,
+    SERVED,
     SPINE,
     LOAN_FEATURES,
     FINANCIAL_FEATURES,
@@ -359,12 +371,14 @@ STORE = (
 )
 STORE_SELECT = """
 SELECT s.*, l.* EXCLUDE (processing_date, "Customer_ID"), f.* EXCLUDE (processing_date, "Customer_ID"),
-       a.* EXCLUDE (processing_date, "Customer_ID"), c.* EXCLUDE ("Customer_ID")
+       a.* EXCLUDE (processing_date, "Customer_ID"), c.* EXCLUDE (snapshot_date, "Customer_ID")
 FROM spine s
 LEFT JOIN loan_features l USING (processing_date, "Customer_ID")
 LEFT JOIN financial_features f USING (processing_date, "Customer_ID")
 LEFT JOIN attribute_features a USING (processing_date, "Customer_ID")
-LEFT JOIN clickstream_features c USING ("Customer_ID")
+LEFT JOIN served v USING (processing_date)
+LEFT JOIN clickstream_features c
+  ON c."Customer_ID" = s."Customer_ID" AND c.snapshot_date = v.source_date
 """
 STORE_COLUMNS = 50
 
@@ -702,6 +716,7 @@ ORACLE_SQL: dict[str, str] = {
     "missing_months": _with(
         LOANS,
         CUSTOMER_MONTHS,
+        CLICKSTREAM,
         CALENDAR,
         select="""
         SELECT 'loans' AS dataset, processing_date FROM calendar
@@ -712,7 +727,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE processing_date NOT IN (SELECT month FROM customer_months)
         UNION ALL
         SELECT 'clickstream', processing_date FROM calendar
-        WHERE processing_date <> DATE '2024-01-01'""",
+        WHERE processing_date NOT IN (SELECT snapshot_date FROM clickstream)""",
     ),
     "date_normalize": _with(
         CUSTOMER_MONTHS,
@@ -769,18 +784,20 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "bronze_slice_fallback": _with(
         CLICKSTREAM,
-        CALENDAR,
+        SERVED,
         select="""
         , sums AS (
-          SELECT user_id, event_type, CAST(sum(excess) AS VARCHAR) AS total
+          SELECT user_id, event_type, month, CAST(sum(excess) AS VARCHAR) AS total
           FROM events_excess GROUP BY ALL)
         SELECT 'C' || user_id AS "Customer_ID", max(total) FILTER (WHERE event_type = 'click') AS fe_1,
                max(total) FILTER (WHERE event_type = 'error') AS fe_2,
                max(total) FILTER (WHERE event_type = 'purchase') AS fe_3,
                max(total) FILTER (WHERE event_type = 'signup') AS fe_4,
                max(total) FILTER (WHERE event_type = 'view') AS fe_5,
-               '2024-01-01' AS snapshot_date, '2024-01-01' AS normalized_snapshot_date, processing_date
-        FROM sums CROSS JOIN calendar GROUP BY user_id, processing_date""",
+               strftime(month, '%Y-%m-%d') AS snapshot_date,
+               strftime(month, '%Y-%m-%d') AS normalized_snapshot_date, processing_date
+        FROM sums JOIN served ON month = source_date
+        GROUP BY user_id, month, processing_date""",
     ),
     "meta_bronze": _with(
         LOANS_TEXT,
@@ -832,7 +849,7 @@ ORACLE_SQL: dict[str, str] = {
         LOANS,
         CUSTOMER_MONTHS,
         CLICKSTREAM,
-        CALENDAR,
+        SERVED,
         select="""
         , checked AS (
           SELECT 'features at mob' AS "check", count(*) AS rows, 0 AS violations
@@ -848,7 +865,7 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL
           SELECT 'clickstream not ahead', count(*),
                  count(*) FILTER (WHERE snapshot_date > processing_date)
-          FROM clickstream CROSS JOIN calendar)
+          FROM clickstream JOIN served ON snapshot_date = source_date)
         SELECT "check", rows, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed
         FROM checked""",
     ),
@@ -911,7 +928,7 @@ ORACLE_SQL: dict[str, str] = {
     "run_report": _with(
         LOANS,
         CLICKSTREAM,
-        CALENDAR,
+        SERVED,
         select="""
         , sizes AS (SELECT snapshot_date, count(*) AS rows FROM loans GROUP BY snapshot_date)
         SELECT 'bronze' AS layer, 'loans' AS dataset, processing_date,
@@ -921,7 +938,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'bronze', 'attributes', processing_date, 'failed', 0 FROM calendar
         UNION ALL SELECT 'bronze', 'financials', processing_date, 'missing', 0 FROM calendar
         UNION ALL
-        SELECT 'bronze', 'clickstream', processing_date, 'done', (SELECT count(*) FROM clickstream)
-        FROM calendar""",
+        SELECT 'bronze', 'clickstream', processing_date, 'done',
+               (SELECT count(*) FROM clickstream WHERE snapshot_date = source_date)
+        FROM served""",
     ),
 }

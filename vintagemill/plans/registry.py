@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_MONTH = dt.date(1997, 3, 1)
 COHORT_CUTOFF = dt.date(1998, 1, 1)
 LAST_INSTALLMENT = star.LAST_INSTALLMENT
+CLICK_KEYS = ("snapshot_date", "Customer_ID")
 
 QUERIES: dict[str, Query] = {}
 
@@ -54,8 +55,8 @@ def _monthly(name, spark, d):
 
 
 def _served_clickstream(spark, d, policy=LATEST_OVERALL):
-    frame = _clean("clickstream", spark, d).withColumn("source_date", F.col("snapshot_date"))
     raw = star.clickstream(spark, d)
+    frame = silver.silver_clickstream(raw).withColumn("source_date", F.col("snapshot_date"))
     return Snapshots(frame, bronze.dataset_source_map(raw, _months(spark, d), policy))
 
 
@@ -215,13 +216,13 @@ def feat_attribute(spark, d):
 
 @query
 def feat_clickstream(spark, d):
-    return features.clickstream_features(_clean("clickstream", spark, d), ("Customer_ID",))
+    return features.clickstream_features(_clean("clickstream", spark, d), CLICK_KEYS)
 
 
 @query
 def feat_clickstream_magnitude(spark, d):
     return features.clickstream_features(
-        _clean("clickstream", spark, d), ("Customer_ID",), ratio="magnitude"
+        _clean("clickstream", spark, d), CLICK_KEYS, ratio="magnitude"
     )
 
 

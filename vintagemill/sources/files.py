@@ -56,16 +56,32 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     )
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All snapshots of a layer table, whatever columns each month has."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """All snapshots of a layer table.
+
+    ``merge_schema`` reads every file footer to accept months with other
+    columns; the layer jobs write one schema and do without.
+    """
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration()
-    return bool(hadoop_path.getFileSystem(conf).exists(hadoop_path))
+    file_system, hadoop_path = _file_system(spark, path)
+    return bool(file_system.exists(hadoop_path))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned table lies there with at least one partition."""
+    file_system, hadoop_path = _file_system(spark, path)
+    if not file_system.exists(hadoop_path):
+        return False
+    return any("=" in child.getPath().getName() for child in file_system.listStatus(hadoop_path))
 
 
 def scratch_folder(spark: SparkSession) -> str:
