@@ -37,8 +37,8 @@ def read_csv_typed(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV export in parallel part files; null and empty text stay apart."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS, emptyValue='""').csv(path)
+    """CSV export in parallel part files; empty text reads back as null."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
