@@ -39,7 +39,7 @@ def split_left_join(
     number = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.col("_splits"))
     spread = (
         right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_split", F.coalesce(number, F.lit(0)).cast("int"))
+        .withColumn("_split", F.when(F.col("_splits") > 0, number).otherwise(0).cast("int"))
         .withColumn("_matched", F.lit(True))
         .drop("_splits")
     )
