@@ -28,6 +28,11 @@ def test_parse_date(spark, ansi):
         "": None,
         "13/45/2023": None,
         "2023-99-99": None,
+        "2023-1-5": None,
+        "2023-01-05 10:00": None,
+        "2023-01-05\n": None,
+        "2023-02-30": None,
+        "1/5/2023 x": None,
         None: None,
     }
     check(spark, parsing.parse_date, cases)

@@ -69,7 +69,7 @@ def slice_months(
     requested month.
     """
     dated = with_normalized_date(df, date_column).withColumn(
-        "source_date", F.try_to_date("normalized_snapshot_date", "yyyy-MM-dd")
+        "source_date", snapshot_day(F.col(date_column))
     )
     if policy == SKIP:
         months = calendar.withColumn("source_date", F.col("processing_date"))
@@ -90,7 +90,7 @@ def source_slices(
     """
     dates = served.select("source_date").distinct()
     dated = with_normalized_date(df, date_column).withColumn(
-        "source_date", F.try_to_date("normalized_snapshot_date", "yyyy-MM-dd")
+        "source_date", snapshot_day(F.col(date_column))
     )
     return dated.join(F.broadcast(dates), "source_date", "left_semi")
 

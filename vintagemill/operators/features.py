@@ -19,6 +19,7 @@ HIGH_STABILITY = ("Lawyer", "Engineer", "Doctor", "Teacher", "Accountant", "Scie
 MEDIUM_STABILITY = ("Manager", "Architect", "Developer", "Analyst")
 HIGH_LEVERAGE = 0.7
 
+# Fixed column names: silver name and feature store name.
 FINANCIAL_NAMES = {
     "Annual_Income": "annual_income",
     "Monthly_Inhand_Salary": "monthly_salary",
