@@ -75,8 +75,15 @@ class Store:
     def read(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, self.path(layer, name))
 
-    def write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str]) -> None:
-        write_table(df, self.path(layer, name), partition_by)
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        partition_by: Sequence[str],
+        rebalance: bool = True,
+    ) -> None:
+        write_table(df, self.path(layer, name), partition_by, rebalance)
 
     def write_served(self, served: DataFrame, dataset: str) -> None:
         """Store a month map: one small row per month."""
@@ -85,6 +92,7 @@ class Store:
             "served",
             dataset,
             ["processing_date"],
+            rebalance=False,
         )
 
     def served(self, dataset: str, calendar: DataFrame | None = None) -> DataFrame | None:
@@ -193,7 +201,8 @@ def _silver(store: Store, dataset: str, calendar: DataFrame | None) -> bool:
             dates = served.select("source_date").distinct()
             bronze = bronze.join(F.broadcast(dates), "source_date", "left_semi")
     rows = with_silver_metadata(CLEANERS[dataset](bronze), F.col("source_date"))
-    store.write(rows, "silver", dataset, ["source_date"])
+    # Cleaning is row by row and bronze files hold one date each, so nothing shuffles.
+    store.write(rows, "silver", dataset, ["source_date"], rebalance=False)
     return True
 
 

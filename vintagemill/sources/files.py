@@ -41,15 +41,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
+) -> None:
     """Write a layer table, replacing only the partitions that the rows belong to.
 
     Rebalancing by the partition columns lets adaptive execution merge small
-    months into few files and split a month that holds much of the data.
+    months into few files and split a month that holds much of the data.  Rows
+    that come from files of the same partitions need no such shuffle.
     """
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
