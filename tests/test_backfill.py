@@ -192,11 +192,13 @@ def test_months_with_other_columns(spark, tmp_path):
 
 
 def test_scratch_folder_follows_the_session():
-    class Conf:
-        def get(self, name, default):
-            return {"spark.checkpoint.dir": "hdfs://shared/tmp/"}.get(name, default)
-
     class Session:
-        conf = Conf()
-
-    assert files.scratch_folder(Session()).startswith("hdfs://shared/tmp/vintagemill-")
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: conf.get("dir", default))})
+
+    shared = files.scratch_folder(Session("yarn", dir="hdfs://shared/tmp/"))
+    assert shared.startswith("hdfs://shared/tmp/vintagemill-")
+    assert files.scratch_folder(Session("local[2]")).startswith("/tmp/run-")
+    with pytest.raises(ValueError):
+        files.scratch_folder(Session("yarn"))

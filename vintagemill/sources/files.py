@@ -91,8 +91,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below the shared one that the session names in ``spark.checkpoint.dir``.
 
-    Without that setting, as in tests on one machine, a local folder serves.
+    Without that setting a local folder serves on one machine; a cluster needs it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base}/vintagemill-{uuid.uuid4().hex}"
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return f"{shared.rstrip('/')}/vintagemill-{uuid.uuid4().hex}"
