@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -89,13 +88,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that the session names in ``spark.checkpoint.dir``.
-
-    Without that setting a local folder serves on one machine; a cluster needs it.
-    """
+    """A new folder below a shared one: ``spark.checkpoint.dir``, else the session's warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{shared.rstrip('/')}/vintagemill-{uuid.uuid4().hex}"
