@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
+from .mixing import OP7_SQL, op7_curriculum_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_byte_bpe,)
+    f.__name__: f for f in (op6_byte_bpe, op7_curriculum_mix)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL}
