@@ -50,12 +50,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashes:
-    """Hashes of any byte range of a piece, from one running sum."""
+    """Hashes of any range of a piece's bytes (or of numbers), from one running sum."""
 
     def __init__(self, data: np.ndarray):
         up, self._down = _power_tables(len(data) + 1)
         self._sums = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=self._sums[1:])
+        values = _BYTE_VALUE[data] if data.dtype == np.uint8 else mix(data)
+        np.cumsum(values * up[: len(data)], out=self._sums[1:])
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self._sums[ends] - self._sums[starts]) * self._down[starts]
