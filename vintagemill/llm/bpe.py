@@ -51,8 +51,8 @@ class Transducer:
         prefixes = {token[:n] for token in ranks for n in range(1, len(token))}
         self._entries = {x: 2 * ranks.get(x, -1) + 1 for x in prefixes}
         self._entries |= {x: 2 * rank for x, rank in ranks.items() if x not in prefixes}
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self._pairs: dict[tuple[int, int], int] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
         self._bound = states
         self._reset()
 
@@ -65,28 +65,63 @@ class Transducer:
         self._live: list[list[int]] = [[0]]
         self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
 
-    def _merged(self, text: bytes) -> list[int]:
-        """Plain merging of a short byte string, lowest rank first."""
+    def _split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that merge into a token last; null for a byte.
+
+        A vocabulary entry that merging its own bytes never reaches gives (-1, -1).
+        """
+        if token in self._halves:
+            return self._halves[token]
+        text = self._bytes[token]
         parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > 2:
             found = [self._ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
             best = min((rank for rank in found if rank is not None), default=None)
             if best is None:
                 break
             i = found.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self._ranks[part] for part in parts]
+        halves = None
+        if len(parts) == 2:
+            halves = (self._ranks[parts[0]], self._ranks[parts[1]])
+        elif len(parts) > 2:
+            halves = (-1, -1)
+        self._halves[token] = halves
+        return halves
+
+    def _joined(self, left: int, right: int) -> int | None:
+        rank = self._pairs.get((left, right))
+        if rank is None:
+            rank = self._ranks.get(self._bytes[left] + self._bytes[right], -1)
+            if len(self._pairs) > self._bound:
+                self._pairs.clear()
+            self._pairs[left, right] = rank
+        return None if rank < 0 else rank
 
     def _may_follow(self, left: int, right: int) -> bool:
-        known = self._whole.get(right)
-        if known is None:
-            known = self._whole[right] = self._merged(self._bytes[right]) == [right]
-        if left < 0 or not known:
-            self._fits[left, right] = known
-            return known
-        joined = self._bytes[left] + self._bytes[right]
-        fits = self._fits[left, right] = self._merged(joined) == [left, right]
-        return fits
+        """Whether two neighbours stay as they are when their bytes are encoded together.
+
+        Their merges are undone from the latest to the earliest.  Should the parts
+        that then touch make a token of a lower rank than the merge just undone, that
+        token would have been made first.  A merge on the left goes before one of the
+        same rank on its right.
+        """
+        if self._split(right) == (-1, -1):
+            return False
+        if left < 0:
+            return True
+        before = len(self._ranks) + 1
+        while True:
+            joined = self._joined(left, right)
+            if joined is not None and joined < before:
+                return False
+            halves_left, halves_right = self._split(left), self._split(right)
+            if halves_left is None and halves_right is None:
+                return True
+            if halves_right is None or (halves_left is not None and left > right):
+                before, left = left, halves_left[1]
+            else:
+                before, right = right + 1, halves_right[0]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Make the transition of a state on a byte: the next state and the tokens now certain."""
@@ -99,9 +134,7 @@ class Transducer:
             if entry & 1:
                 live.append(i)
             if entry >= 0 and not grown:
-                pair = (ends[i][1], entry >> 1)
-                fit = self._fits.get(pair)
-                if self._may_follow(*pair) if fit is None else fit:
+                if self._may_follow(ends[i][1], entry >> 1):
                     ends.append((i, entry >> 1))
                     grown = True
         live.append(len(pending))

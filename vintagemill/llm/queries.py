@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
 from .mixing import OP7_SQL, op7_curriculum_mix
+from .quality_model import op8_subword_quality
+from .quality_rules import op4_token_fertility
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_byte_bpe, op7_curriculum_mix)
+    f.__name__: f
+    for f in (op4_token_fertility, op6_byte_bpe, op7_curriculum_mix, op8_subword_quality)
 }
 ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL}
