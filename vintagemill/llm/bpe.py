@@ -3,11 +3,14 @@
 The merges of a rank file are compiled on demand into a finite-state transducer
 over bytes.  It rests on a property of BPE: a token sequence is the encoding of
 its bytes exactly when every two neighbours, encoded on their own, stay as they
-are.  So every prefix of a piece has one last token, found from the last tokens
-of shorter prefixes.  A state holds the bytes after the last certain token
-boundary.  A boundary is certain, and its tokens are emitted, once every start
-from which a longer vocabulary entry can still grow has it in its past; no more
-bytes than these entries reach over are ever held back.
+are.  So every prefix of a text has one last token, found from the last tokens
+of shorter prefixes.  A state is the bytes after the last certain token boundary
+and the last tokens of their prefixes.  A boundary is certain, and its tokens are
+emitted, once every start from which a longer vocabulary entry can still grow has
+it in its past; no more bytes than these entries reach over are ever held back.
+A state forgets what was emitted before it, which keeps states few; emitted
+neighbours are checked, and a piece where they would merge is encoded again with
+the whole past in view.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 import gc
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -28,8 +31,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 from .tables import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-STATES = 200_000
-PIECES = 300_000
+STATES = 150_000
+PIECES = 220_000
 _BYTES = [bytes((i,)) for i in range(256)]
 
 
@@ -51,13 +54,13 @@ class Transducer:
         prefixes = {token[:n] for token in ranks for n in range(1, len(token))}
         self._entries = {x: 2 * ranks.get(x, -1) + 1 for x in prefixes}
         self._entries |= {x: 2 * rank for x, rank in ranks.items() if x not in prefixes}
-        self._pairs: dict[tuple[int, int], int] = {}
+        self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._bound = states
         self._reset()
 
     def _reset(self) -> None:
-        self._numbers: dict[tuple[int, bytes], int] = {(-1, b""): 0}
+        self._numbers: dict[bytes, int] = {b"": 0}
         self._pending: list[bytes] = [b""]
         # For each prefix of the pending bytes: where its last token starts, and that token.
         self._ends: list[list[tuple[int, int]]] = [[(-1, -1)]]
@@ -89,16 +92,17 @@ class Transducer:
         self._halves[token] = halves
         return halves
 
-    def _joined(self, left: int, right: int) -> int | None:
-        rank = self._pairs.get((left, right))
-        if rank is None:
-            rank = self._ranks.get(self._bytes[left] + self._bytes[right], -1)
-            if len(self._pairs) > self._bound:
-                self._pairs.clear()
-            self._pairs[left, right] = rank
-        return None if rank < 0 else rank
-
     def _may_follow(self, left: int, right: int) -> bool:
+        if left < 0:
+            return self._split(right) != (-1, -1)
+        fits = self._fits.get(left << 32 | right)
+        if fits is None:
+            if len(self._fits) > self._bound:
+                self._fits.clear()
+            fits = self._fits[left << 32 | right] = self._stay(left, right)
+        return fits
+
+    def _stay(self, left: int, right: int) -> bool:
         """Whether two neighbours stay as they are when their bytes are encoded together.
 
         Their merges are undone from the latest to the earliest.  Should the parts
@@ -108,11 +112,9 @@ class Transducer:
         """
         if self._split(right) == (-1, -1):
             return False
-        if left < 0:
-            return True
         before = len(self._ranks) + 1
         while True:
-            joined = self._joined(left, right)
+            joined = self._ranks.get(self._bytes[left] + self._bytes[right])
             if joined is not None and joined < before:
                 return False
             halves_left, halves_right = self._split(left), self._split(right)
@@ -123,32 +125,39 @@ class Transducer:
             else:
                 before, right = right + 1, halves_right[0]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Make the transition of a state on a byte: the next state and the tokens now certain."""
-        pending, ends = self._pending[state] + _BYTES[byte], self._ends[state][:]
-        entry_of, live, grown = self._entries.get, [], False
-        for i in self._live[state]:
-            entry = entry_of(pending[i:] if i else pending)
+    def _grow(self, tail, ends: list[tuple[int, int]], live: list[int]) -> list[int]:
+        """Append the last token of a text one byte longer; ``tail(i)`` is the text from i on."""
+        entry_of, still, grown = self._entries.get, [], False
+        for i in live:
+            entry = entry_of(tail(i))
             if entry is None:
                 continue
             if entry & 1:
-                live.append(i)
-            if entry >= 0 and not grown:
-                if self._may_follow(ends[i][1], entry >> 1):
-                    ends.append((i, entry >> 1))
-                    grown = True
-        live.append(len(pending))
+                still.append(i)
+            if entry >= 0 and not grown and self._may_follow(ends[i][1], entry >> 1):
+                ends.append((i, entry >> 1))
+                grown = True
+        still.append(len(ends) - 1)
+        return still
+
+    def _last_tokens(self, text: bytes) -> tuple[list[tuple[int, int]], list[int]]:
+        ends, live = [(-1, -1)], [0]
+        for j in range(1, len(text) + 1):
+            live = self._grow(lambda i, j=j: text[i:j], ends, live)
+        return ends, live
+
+    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Make the transition of a state on a byte: the next state and the tokens now certain."""
+        pending, ends = self._pending[state] + _BYTES[byte], self._ends[state][:]
+        live = self._grow(lambda i: pending[i:], ends, self._live[state])
         tokens: tuple[int, ...] = ()
         if cut := self._common(ends, live):
-            tokens = self._chain(ends, cut)
-            pending, last = pending[cut:], ends[cut][1]
-            # Ends that start before the cut belong to dead starts: nothing live hangs on them.
-            ends = [(-1, last)] + [(i - cut, rank) for i, rank in ends[cut + 1 :]]
-            live = [i - cut for i in live]
-        key = (ends[0][1], pending)
-        following = self._numbers.get(key)
+            tokens, pending = self._chain(ends, cut), pending[cut:]
+        following = self._numbers.get(pending)
         if following is None:
-            following = self._numbers[key] = len(self._pending)
+            if cut:
+                ends, live = self._last_tokens(pending)
+            following = self._numbers[pending] = len(self._pending)
             self._pending.append(pending)
             self._ends.append(ends)
             self._live.append(live)
@@ -184,16 +193,25 @@ class Transducer:
             return [whole]
         if len(self._pending) > self._bound:
             self._reset()
-        state, ids, steps = 0, [], self._steps
+        state, ids, steps, last = 0, [], self._steps, -1
         for byte in piece:
             step = steps.get(state << 8 | byte) or self._step(state, byte)
             state = step[0]
-            if step[1]:
-                ids.extend(step[1])
-        ends = self._ends[state]
-        ids.extend(self._chain(ends, len(ends) - 1))
+            if tokens := step[1]:
+                if not self._may_follow(last, tokens[0]):
+                    return self._with_past(piece)
+                ids.extend(tokens)
+                last = tokens[-1]
+        rest = self._chain(self._ends[state], len(self._ends[state]) - 1)
+        if rest and not self._may_follow(last, rest[0]):
+            return self._with_past(piece)
+        ids.extend(rest)
         return ids
 
+    def _with_past(self, piece: bytes) -> list[int]:
+        ends, _ = self._last_tokens(piece)
+        return list(self._chain(ends, len(piece)))
+
 
 class _Pieces(dict):
     """Packed token ids of pieces seen before: two generations of at most ``PIECES`` each."""
@@ -271,16 +289,13 @@ class Utf8Stream:
 
 
 def decode_stream(
-    ids: Iterable[int], vocabulary: dict[int, bytes], at_once: int = 4096
+    ids: Sequence[int], vocabulary: dict[int, bytes], at_once: int = 16_384
 ) -> Iterator[str]:
-    """Text of a stream of ids, part by part; an unknown id is an error."""
-    stream, held = Utf8Stream(), []
-    for token in ids:
-        held.append(vocabulary[token])
-        if len(held) == at_once:
-            yield stream.feed(b"".join(held))
-            held.clear()
-    yield stream.feed(b"".join(held)) + stream.end()
+    """Text of a sequence of ids, part by part; an unknown id is an error."""
+    stream = Utf8Stream()
+    for at in range(0, len(ids), at_once):
+        yield stream.feed(b"".join(map(vocabulary.__getitem__, ids[at : at + at_once])))
+    yield stream.end()
 
 
 def decode_bytes(data: bytes, at_once: int = 1 << 16) -> str:
@@ -294,6 +309,23 @@ def _kept(df: DataFrame, *replaced: str) -> list[str]:
     return [c for c in df.columns if c not in replaced]
 
 
+def _encoded(texts: list[str | None], split: regex.Pattern, known: _Pieces) -> list[np.ndarray]:
+    packed = (b"".join(map(known.__getitem__, split.findall(text or ""))) for text in texts)
+    return [np.frombuffer(ids, dtype=np.int32) for ids in packed]
+
+
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, ids)])
+    flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+
+
+def _parts(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
     """``docs`` without its text, and with ``token_ids`` (array of int).
 
@@ -305,18 +337,10 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = regex.compile(public_tokenizers.PATTERN), encoder(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                packed = [
-                    b"".join(map(known.__getitem__, split.findall(value or "")))
-                    for value in part.column(text).to_pylist()
-                ]
-                ids = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-                offsets = np.cumsum([0, *map(len, packed)], dtype=np.int64) // 4
-                tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
-                columns = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays([*columns, tokens], [*kept, "token_ids"])
+        for part in _parts(batches):
+            ids = _encoded(part.column(text).to_pylist(), split, known)
+            columns = [part.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, _id_lists(ids)], [*kept, "token_ids"])
 
     schema = docs.select(*kept).schema.add("token_ids", ArrayType(IntegerType()))
     return docs.select(*kept, text).mapInArrow(run, schema)
@@ -332,32 +356,54 @@ def decode(tokens: DataFrame, path: str | None = None, ids: str = "token_ids") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = token_bytes(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                lists = [value or [] for value in part.column(ids).to_pylist()]
-                raw = [b"".join(map(vocabulary.__getitem__, value)) for value in lists]
-                texts = [decode_bytes(value) for value in raw]
-                arrays = [pa.array(raw, pa.binary()), pa.array(texts, pa.string())]
-                columns = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, *arrays], [*kept, "decoded", "decoded_text"]
-                )
+        for part in _parts(batches):
+            lists = [value.values for value in part.column(ids)]
+            lists = [[] if value is None else value.to_numpy().tolist() for value in lists]
+            raw = [b"".join(map(vocabulary.__getitem__, value)) for value in lists]
+            arrays = [pa.array(raw, pa.binary()), pa.array(map(decode_bytes, raw), pa.string())]
+            columns = [part.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, *arrays], [*kept, "decoded", "decoded_text"])
 
     schema = tokens.select(*kept).schema.add("decoded", "binary").add("decoded_text", "string")
     return tokens.mapInArrow(run, schema)
 
 
-def digest(tokens: DataFrame) -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``token_ids`` and ``decoded`` (binary).
+
+    The bytes are decoded from the ids, not copied from the text.
+    """
+    path = path or public_tokenizers.path(VOCABULARY)
+    kept = _kept(docs, text, "token_ids", "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, known = regex.compile(public_tokenizers.PATTERN), encoder(path)
+        vocabulary = token_bytes(path)
+        for part in _parts(batches):
+            ids = _encoded(part.column(text).to_pylist(), split, known)
+            texts = ("".join(decode_stream(value.tolist(), vocabulary)) for value in ids)
+            raw = pa.array([value.encode() for value in texts], pa.binary())
+            columns = [part.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, _id_lists(ids), raw], [*kept, "token_ids", "decoded"]
+            )
+
+    schema = docs.select(*kept).schema
+    schema = schema.add("token_ids", ArrayType(IntegerType())).add("decoded", "binary")
+    return docs.select(*kept, text).mapInArrow(run, schema)
+
+
+def digest(decoded: DataFrame) -> DataFrame:
     """Per document: how many tokens, and the digests of its ids and of their decoded bytes."""
-    return decode(tokens).select(
+    joined = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return decoded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
 
 
 def op6_byte_bpe(spark, folder: str) -> DataFrame:
     """Encode and decode every document: digests of ids and bytes."""
-    return digest(encode(documents(spark, folder).select("doc_id", "text")))
+    return digest(round_trip(documents(spark, folder).select("doc_id", "text")))
