@@ -10,9 +10,16 @@ from .bpe import op6_byte_bpe
 from .mixing import OP7_SQL, op7_curriculum_mix
 from .quality_model import op8_subword_quality
 from .quality_rules import op4_token_fertility
+from .url_filter import op5_url_trees
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_token_fertility, op6_byte_bpe, op7_curriculum_mix, op8_subword_quality)
+    for f in (
+        op4_token_fertility,
+        op5_url_trees,
+        op6_byte_bpe,
+        op7_curriculum_mix,
+        op8_subword_quality,
+    )
 }
 ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL}
