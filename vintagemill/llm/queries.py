@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
 from .mixing import OP7_SQL, op7_curriculum_mix
+from .pii import op2_bilstm_pii
 from .quality_model import op8_subword_quality
 from .quality_rules import op4_token_fertility
+from .unigram import op3_viterbi_counts
 from .url_filter import op5_url_trees
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_bilstm_pii,
+        op3_viterbi_counts,
         op4_token_fertility,
         op5_url_trees,
         op6_byte_bpe,
