@@ -345,13 +345,13 @@ def _listed(spans: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     """Per document: base counts per kind, the digest of the base spans, and all spans."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, KINDS),
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
     )
