@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
+from .hyperminhash import op1_hyperminhash
 from .mixing import OP7_SQL, op7_curriculum_mix
 from .pii import op2_bilstm_pii
 from .quality_model import op8_subword_quality
@@ -17,6 +18,7 @@ from .url_filter import op5_url_trees
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_hyperminhash,
         op2_bilstm_pii,
         op3_viterbi_counts,
         op4_token_fertility,
