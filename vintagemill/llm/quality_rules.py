@@ -68,7 +68,8 @@ def _repeat_words(hashes: np.ndarray, found: Words) -> np.ndarray:
     if n < 3:
         return np.zeros(len(found.first) - 1, dtype=np.int64)
     salt = mix(found.row.astype(np.uint64) + np.uint64(1))
-    window = hashes[:-2] + hashes[1:-1] * np.uint64(3) + hashes[2:] * np.uint64(7)
+    one, two = mix(np.arange(1, 3)) | np.uint64(1)
+    window = hashes[:-2] + hashes[1:-1] * one + hashes[2:] * two
     window = mix(window ^ salt[:-2])
     whole = found.row[:-2] == found.row[2:]
     at = np.flatnonzero(whole)

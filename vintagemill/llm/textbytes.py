@@ -140,10 +140,12 @@ def shingles(hashes: np.ndarray, found: Words, size: int) -> tuple[np.ndarray, n
     row = np.repeat(np.arange(len(counts)), made)
     at = found.first[row] + (np.arange(first[-1]) - first[row])
     left = found.first[row + 1] - at
+    # Unrelated odd factors: no two orders of the same words may add up to the same sum.
+    factors = mix(np.arange(1, size + 1)) | U64(1)
     total = np.zeros(len(at), dtype=U64)
     padded = np.concatenate((hashes, np.zeros(size, dtype=U64)))
     for k in range(size):
-        value = padded[at + k] * U64((2 * k + 3) * 0xD6E8FEB86659FD93 % (1 << 64))
+        value = padded[at + k] * factors[k]
         total += np.where(left > k, value, U64(0)) if k else value
     return mix(total ^ np.minimum(left, size).astype(U64)), first
 
