@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
+from .cosine import OP9_SQL, op9_sign_hashing
 from .hyperminhash import op1_hyperminhash
 from .mixing import OP7_SQL, op7_curriculum_mix
 from .pii import op2_bilstm_pii
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_byte_bpe,
         op7_curriculum_mix,
         op8_subword_quality,
+        op9_sign_hashing,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL, "op9_sign_hashing": OP9_SQL}
