@@ -240,12 +240,13 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     A null or empty text, or one without words, has an empty set and is a
     component of its own.  A text of fewer words than a shingle has its whole
     sequence as one.  Rows that share a doc_id count as one document with all
-    their links.  Other columns are not looked at.
+    their links.  A row without a doc_id links with nothing, has no component and
+    is kept.  Other columns are not looked at.
     """
     settings = settings or Settings()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     marked = written(sketches(docs, settings), "sketches")
-    classes = marked.where("n_shingles > 0").groupBy("set_id").agg(
+    classes = marked.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"),
         F.max("n_shingles").alias("n"),
         F.max("sketch").alias("sketch"),
@@ -300,15 +301,31 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     every = links.unionAll(verified(open_pairs, docs, settings))
     found = components(every).select(F.col("id").alias("rep"), "component_id")
     of_set = classes.select("set_id", "rep").join(found, "rep", "left")
-    component = F.coalesce("component_id", "rep", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id"))
     return (
         marked.select("doc_id", "n_shingles", "set_id")
         .join(of_set, "set_id", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def keep_one(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest doc_id; same columns.
+
+    Of rows that share a doc_id the one that sorts first stays, rows without one all stay.
+    """
+    columns = docs.columns
+    found = near_duplicates(docs, settings).where("kept and doc_id is not null")
+    ids = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once = docs.join(ids.where("rows = 1"), "doc_id", "left_semi")
+    again = docs.join(ids.where("rows > 1"), "doc_id", "left_semi")
+    # Positions, not names, so that columns of any name can be carried.
+    packed = again.groupBy("doc_id").agg(F.min(F.struct("*")).alias("row")).select("row.*")
+    without = docs.where("doc_id is null")
+    return once.select(*columns).unionAll(packed.select(*columns)).unionAll(without.select(*columns))
+
+
 def op1_hyperminhash(spark, folder: str) -> DataFrame:
     """Near-duplicate components of all documents on shingles of four words."""
     return near_duplicates(documents(spark, folder), Settings(words=4))
