@@ -320,8 +320,8 @@ def keep_one(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     ids = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
     once = docs.join(ids.where("rows = 1"), "doc_id", "left_semi")
     again = docs.join(ids.where("rows > 1"), "doc_id", "left_semi")
-    # Positions, not names, so that columns of any name can be carried.
-    packed = again.groupBy("doc_id").agg(F.min(F.struct("*")).alias("row")).select("row.*")
+    smallest = F.min_by(F.struct("*"), F.coalesce("text", F.lit(""))).alias("row")
+    packed = again.groupBy("doc_id").agg(smallest).select("row.*")
     without = docs.where("doc_id is null")
     return once.select(*columns).unionAll(packed.select(*columns)).unionAll(without.select(*columns))
 
