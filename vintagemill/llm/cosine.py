@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import by_piece, components, in_blocks
+from .graph import by_piece, components, forest, in_blocks
 from .tables import table, written
 
 
@@ -140,7 +140,8 @@ def _links(classes: DataFrame, size: int, settings: Settings, n: int) -> tuple[D
                     fresh[part] = ~met.any(1)
                 i, j = i[fresh], j[fresh]
             counts = np.bincount(i, copies[j], len(rep)) + np.bincount(j, copies[i], len(rep))
-            a, b = _forest(rep, i, j)
+            kept = forest(len(rep), i, j)
+            a, b = rep[i[kept]], rep[j[kept]]
             some = np.flatnonzero(counts)
             count = np.arange(len(a) + len(some)) >= len(a)
             none, mark = np.zeros(len(a)), piece["mark"].to_numpy()
@@ -159,30 +160,6 @@ def _links(classes: DataFrame, size: int, settings: Settings, n: int) -> tuple[D
     return counts.agg(F.sum("n_links").alias("n_links")), found.where("not is_count").select("a", "b")
 
 
-def _forest(rep: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all that the links (i, j) connect, one fewer than the vectors of each part."""
-    parent = np.arange(len(rep))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    # Hanging every vector on its first partner settles most links without a look at each.
-    order = np.lexsort((i, j))
-    lead = order[np.concatenate(([True], j[order][1:] != j[order][:-1]))] if len(order) else order
-    for k in (*lead, *order):
-        if len(kept) == len(rep) - 1:
-            break
-        one, two = root(i[k]), root(j[k])
-        if one != two:
-            parent[two] = one
-            kept.append(k)
-    return rep[i[kept]], rep[j[kept]]
-
-
 def near_duplicates(
     rows: DataFrame, settings: Settings | None = None, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -208,16 +185,16 @@ def near_duplicates(
     classes = written(classes.select("*", mark, F.size("vector").alias("size")), "classes")
     names = classes.select("class_id", "rep", "mark", "copies")
     sizes = classes.groupBy("size").count().collect()  # one row per length of vector
-    counts = forest = None
+    counts = links = None
     for row in sorted(sizes, key=lambda x: x["size"]):
         same = classes.where(F.col("size") == row["size"])
         own_counts, own_forest = _links(same, row["size"], settings, row["count"])
         counts = own_counts if counts is None else counts.unionAll(own_counts)
-        forest = own_forest if forest is None else forest.unionAll(own_forest)
+        links = own_forest if links is None else links.unionAll(own_forest)
     if counts is None:
         found = names.withColumn("n_links", F.lit(0).cast("long")).withColumn("component_id", F.col("rep"))
     else:
-        parts = components(forest).select(F.col("id").alias("rep"), "component_id")
+        parts = components(links).select(F.col("id").alias("rep"), "component_id")
         found = names.join(counts, ["rep", "mark"], "left").join(parts, "rep", "left")
     of_class = found.select(
         "class_id",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,3 +100,37 @@ def by_piece(
             held.append(batch.slice(start, end - start))
             start = end
     yield from done()
+
+
+class Union:
+    """Sets of the numbers below ``n`` that grow together."""
+
+    def __init__(self, n: int):
+        self._parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        parent = self._parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether two sets have become one by this."""
+        x, y = self.root(x), self.root(y)
+        self._parent[y] = x
+        return x != y
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
+    """Which of the links (i, j) to keep so that they connect as much as all of them do."""
+    sets, kept = Union(n), []
+    # Hanging every member on its first partner settles most links without a look at each.
+    order = np.lexsort((i, j))
+    lead = order[np.concatenate(([True], j[order][1:] != j[order][:-1]))] if len(order) else order
+    for k in (*lead.tolist(), *order.tolist()):
+        if len(kept) == n - 1:
+            break
+        if sets.join(int(i[k]), int(j[k])):
+            kept.append(k)
+    return kept

@@ -10,8 +10,10 @@ estimate cannot rule out is verified on the full shingle sets.
 Only components are wanted, so not every pair is looked at.  Documents of the
 same set are one.  In each band group every document is first compared with the
 smallest one, the hub; the best hub of a document is verified and joins it.  What
-is left are groups whose members lie in several components: there all pairs
-across components are estimated in bounded blocks, and verified if likely.  A
+is left are pairs across components: where groups hold members of several, their
+estimates are taken in bounded blocks, which return enough likely pairs to connect
+what they connect.  Each part that these connect is verified on full sets, again
+in bounded blocks, pair by pair until nothing likely across components is left.  A
 pair that shares a band is so either verified or connected already: none is lost.
 """
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import by_piece, components, in_blocks
+from .graph import Union, by_piece, components, forest, in_blocks
 from .tables import documents, written
 from .textbytes import LOWER, Hashes, Piece, pieces, shingles, words
 
@@ -37,7 +39,8 @@ class Settings:
     """160 registers in 32 bands of 5: a pair at similarity 0.8 is missed with odds of 3 in a million.
 
     ``slack`` is how far an estimate may lie below the threshold and still be
-    verified: over five standard errors of 160 registers.
+    verified: four standard errors of 160 registers.  ``block`` bounds the documents
+    of a task's piece, twice.
     """
 
     words: int = 5
@@ -45,8 +48,8 @@ class Settings:
     bands: int = 32
     rows: int = 5
     mantissa: int = 10
-    slack: float = 0.18
-    block: int = 256
+    slack: float = 0.13
+    block: int = 512
 
     @property
     def registers(self) -> int:
@@ -174,59 +177,78 @@ def _estimated(pairs: DataFrame, reps: DataFrame, settings: Settings) -> DataFra
     return sized.mapInArrow(run, "a long, b long, similarity double")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """The ``pairs`` (a, b) whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    texts = written(texts.dropDuplicates(["doc_id"]), "texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b"))
-
-    def sets(batch: pa.RecordBatch, column: str) -> Iterator[np.ndarray]:
-        for piece in pieces([batch.select([column])], column):
+def _sets(texts: pa.Array | pa.ChunkedArray, settings: Settings) -> Iterator[np.ndarray]:
+    """The shingle set of each text, in order."""
+    for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+        for piece in pieces([pa.RecordBatch.from_arrays([chunk], ["text"])]):
             values, begin = shingle_sets(piece, settings.words)
             for start, end in zip(begin[:-1], begin[1:], strict=True):
                 yield values[start:end]
 
+
+def similar(one: np.ndarray, two: np.ndarray, settings: Settings) -> bool:
+    """Whether two full sets reach the threshold."""
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    union = len(one) + len(two) - shared
+    return union > 0 and 100 * shared >= settings.percent * union
+
+
+def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The ``pairs`` (a, b) whose full shingle sets reach the threshold; ``texts`` (rep, text)."""
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
-                keep = []
-                for one, two in zip(sets(batch, "t_a"), sets(batch, "t_b"), strict=True):
-                    shared = len(np.intersect1d(one, two, assume_unique=True))
-                    union = len(one) + len(two) - shared
-                    keep.append(union > 0 and 100 * shared >= settings.percent * union)
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both = zip(_sets(batch["t_a"], settings), _sets(batch["t_b"], settings), strict=True)
+                keep = pa.array([similar(one, two, settings) for one, two in both], pa.bool_())
+                yield batch.select(["a", "b"]).filter(keep)
 
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def _sides(piece: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of the two parts of a piece, and whether they are one and the same part."""
+    side = piece["side"].to_numpy()
+    inner = piece["left_part"][0].as_py() == piece["right_part"][0].as_py()
+    left = np.flatnonzero(side == 0)
+    return left, left if inner else np.flatnonzero(side == 1), inner
+
+
+def _likely_pairs(piece: pa.Table, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Likely pairs of different components in a piece: rows i and j, and their similarity."""
+    part, n, registers = piece["component"].to_numpy(), piece["n"].to_numpy(), _registers(piece["sketch"])
+    left, right, inner = _sides(piece)
+    found = []
+    for i in left:
+        other = right[right > i] if inner else right
+        other = other[part[other] != part[i]]
+        if len(other):
+            similarity = estimate(registers[i], registers[other], n[i], n[other], settings)
+            keep = likely(similarity, n[i], n[other], settings)
+            found.append((np.full(keep.sum(), i), other[keep], similarity[keep]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    i, j, similarity = (np.concatenate(x) for x in zip(*found, strict=True))
+    return i, j, similarity
+
+
+def _pairs_of(rep: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 def _across(rows: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
-    """Likely pairs (a, b) of different components inside the groups of ``rows`` (key, rep, component)."""
+    """Likely pairs (a, b) that connect what is likely across components in the groups of ``rows``."""
     keys = ["key"]
     dealt = in_blocks(rows.join(reps, "rep"), keys, F.col("rep"), settings.block)
 
-    def pairs(piece: pa.Table) -> pa.RecordBatch | None:
-        rep, part = piece["rep"].to_numpy(), piece["component"].to_numpy()
-        n, side, registers = piece["n"].to_numpy(), piece["side"].to_numpy(), _registers(piece["sketch"])
-        inner = not side.any()
-        if piece["left_part"][0].as_py() != piece["right_part"][0].as_py() and inner:
-            return None  # the other part is empty
-        left = np.arange(len(rep)) if inner else np.flatnonzero(side == 0)
-        right = np.arange(len(rep)) if inner else np.flatnonzero(side == 1)
-        found = []
-        for i in left:
-            other = right[right > i] if inner else right
-            other = other[part[other] != part[i]]
-            if len(other):
-                similarity = estimate(registers[i], registers[other], n[i], n[other], settings)
-                found += [(rep[i], rep[j]) for j in other[likely(similarity, n[i], n[other], settings)]]
-        if not found:
-            return None
-        a, b = np.array(found, dtype=np.int64).T
-        lower, upper = np.minimum(a, b), np.maximum(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(lower), pa.array(upper)], ["a", "b"])
+    def pairs(piece: pa.Table) -> pa.RecordBatch:
+        i, j, _ = _likely_pairs(piece, settings)
+        kept = forest(piece.num_rows, i, j)
+        return _pairs_of(piece["rep"].to_numpy(), i[kept], j[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return by_piece(batches, keys, pairs)
@@ -234,6 +256,36 @@ def _across(rows: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _settled(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Verified links (a, b) that connect all that is similar inside the clusters of ``rows``.
+
+    ``rows`` has cluster, rep, component, n, sketch and text.  Sets are made once per
+    piece, and only of documents with a likely partner.
+    """
+    keys = ["cluster"]
+    dealt = in_blocks(rows, keys, F.col("rep"), settings.block)
+
+    def links(piece: pa.Table) -> pa.RecordBatch:
+        i, j, similarity = _likely_pairs(piece, settings)
+        _, component = np.unique(piece["component"].to_numpy(), return_inverse=True)
+        wanted, place = np.unique(np.concatenate((i, j)), return_inverse=True)
+        sets = list(_sets(piece["text"].take(pa.array(wanted)), settings))
+        joined, kept = Union(len(component)), []
+        for k in np.argsort(-similarity, kind="stable").tolist():
+            one, two = int(component[i[k]]), int(component[j[k]])
+            if joined.root(one) == joined.root(two):
+                continue
+            if similar(sets[place[k]], sets[place[len(i) + k]], settings):
+                joined.join(one, two)
+                kept.append(k)
+        return _pairs_of(piece["rep"].to_numpy(), i[kept], j[kept])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return by_piece(batches, keys, links)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
@@ -271,15 +323,14 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     # The most similar hub of each document; the smallest of equal ones.
     best = near.groupBy("b").agg(F.max(F.struct("similarity", -F.col("a"))).alias("best"))
     first = written(best.select((-F.col("best.col2")).alias("a"), "b"), "first")
-    links = written(verified(first, docs, settings), "first_links")
-    joined = components(links)
-    part = joined.select(F.col("id").alias("rep"), "component_id")
-    rows = written(
-        grouped.join(part, "rep", "left").select(
-            "key", "rep", "hub", F.coalesce("component_id", "rep").alias("component")
-        ),
-        "labelled",
-    )
+    # The ids grow with the data, so they are not broadcast, at no size.
+    members = grouped.select("rep").distinct().hint("merge")
+    texts = docs.withColumnRenamed("doc_id", "rep").join(members, "rep", "left_semi")
+    texts = written(texts.groupBy("rep").agg(F.min("text").alias("text")), "texts")
+    links = written(verified(first, texts, settings), "first_links")
+    part = components(links).select(F.col("id").alias("rep"), "component_id")
+    component = F.coalesce("component_id", "rep").alias("component")
+    rows = written(grouped.join(part, "rep", "left").select("key", "rep", "hub", component), "labelled")
     torn = (
         rows.groupBy("key")
         .agg(F.min("component").alias("one"), F.max("component").alias("two"), F.count("rep").alias("size"))
@@ -287,18 +338,20 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
         .select("key")
     )
     across = _across(rows.join(torn, "key").where("rep <> hub").drop("hub"), reps, settings)
-    left_over = near.select("a", "b").join(first, ["a", "b"], "left_anti")
-    sides = rows.select("rep", "component").distinct()
-    open_pairs = (
-        across.unionAll(left_over.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        .distinct()
-        .join(sides.toDF("a", "part_a"), "a")
-        .join(sides.toDF("b", "part_b"), "b")
+    labels = rows.select("rep", "component").distinct()
+    left_over = (
+        near.select("a", "b")
+        .join(first, ["a", "b"], "left_anti")
+        .join(labels.toDF("a", "part_a"), "a")
+        .join(labels.toDF("b", "part_b"), "b")
         .where("part_a <> part_b")
         .select("a", "b")
     )
-    open_pairs = written(open_pairs, "open")
-    every = links.unionAll(verified(open_pairs, docs, settings))
+    open_parts = components(across.unionAll(left_over)).select(
+        F.col("id").alias("rep"), F.col("component_id").alias("cluster")
+    )
+    open_rows = open_parts.join(labels, "rep").join(reps, "rep").join(texts, "rep")
+    every = links.unionAll(_settled(open_rows, settings))
     found = components(every).select(F.col("id").alias("rep"), "component_id")
     of_set = classes.select("set_id", "rep").join(found, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id"))
