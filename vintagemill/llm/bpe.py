@@ -32,8 +32,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 from .tables import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-STATES = 150_000
-PIECES = 220_000
+STATES = 400_000
+PIECES = 400_000
 _BYTES = [bytes((i,)) for i in range(256)]
 
 
