@@ -10,6 +10,7 @@ from .bpe import op6_byte_bpe
 from .cosine import OP9_SQL, op9_sign_hashing
 from .hyperminhash import op1_hyperminhash
 from .mixing import OP7_SQL, op7_curriculum_mix
+from .passages import op10_compact_windows
 from .pii import op2_bilstm_pii
 from .quality_model import op8_subword_quality
 from .quality_rules import op4_token_fertility
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_curriculum_mix,
         op8_subword_quality,
         op9_sign_hashing,
+        op10_compact_windows,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL, "op9_sign_hashing": OP9_SQL}
