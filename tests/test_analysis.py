@@ -144,10 +144,31 @@ def test_missing_percentage(spark):
     missing = profiling.missing_pct({"x": df, "y": df.drop("b")})
     got = {(r.dataset, r.snapshot_date): r.missing_pct for r in missing.collect()}
     assert got == {("x", JAN): 50.0, ("x", FEB): 0.0, ("y", JAN): 25.0, ("y", FEB): 0.0}
-    pivot = profiling.missing_pct_pivot(missing, ["Jan 2023", "Feb 2023", "Mar 2023"])
+    counts = profiling.missing_counts({"x": df, "y": df.drop("b")})
+    labels = profiling.month_labels(JAN, dt.date(2023, 3, 31))
+    pivot = profiling.missing_pct_pivot(counts, labels)
+    assert pivot.columns == ["dataset", "Jan 2023", "Feb 2023", "Mar 2023"]
     assert sorted(tuple(r) for r in pivot.collect()) == [("x", 50.0, 0.0, None), ("y", 25.0, 0.0, None)]
 
 
+def test_pivot_sums_days_of_a_month_and_loses_none(spark):
+    rows = [(JAN, 1), (dt.date(2023, 1, 15), None), (dt.date(2023, 1, 15), None)]
+    df = spark.createDataFrame(rows, "snapshot_date date, a int")
+    counts = profiling.missing_counts({"x": df})
+    assert [tuple(r) for r in profiling.missing_pct_pivot(counts, ["Jan 2023"]).collect()] == [
+        ("x", 100.0 * 2 / 6)
+    ]
+    with pytest.raises(Exception, match="outside the pivot"):
+        profiling.missing_pct_pivot(counts, ["Feb 2023"]).collect()
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "m double")
+    values = in_long_form(df, ["m"])
+    assert [tuple(r) for r in profiling.column_stats(values).collect()] == [("m", 2, 1.0, 2.0, 1.5, 1.5)]
+    assert [r.rows for r in profiling.histogram(values, {"m": 2}).orderBy("bucket").collect()] == [1, 1]
+
+
 def test_validity(spark):
     rows = [(JAN, True), (JAN, False), (JAN, None), (FEB, None)]
     df = spark.createDataFrame(rows, "snapshot_date date, SSN_is_valid boolean")

@@ -12,6 +12,7 @@ from ..config import FEATURE_MOB, OVERLAP_GATE
 from ..functions.arithmetic import flag
 from .store import Snapshots
 
+# The columns shown of a store.
 PREVIEW_COLUMNS = (
     "Customer_ID",
     "snapshot_date",
@@ -40,12 +41,13 @@ def store_summary(stores: dict[str, DataFrame]) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5, columns: Sequence[str] = PREVIEW_COLUMNS) -> DataFrame:
-    """The first ``n`` rows of the well-known columns that exist."""
-    return df.select(*[c for c in columns if c in df.columns]).limit(n)
+    """``n`` rows of the well-known columns that exist, the first in the order of these columns."""
+    shown = df.select(*[c for c in columns if c in df.columns])
+    return shown.orderBy(*[F.col(c).asc_nulls_last() for c in shown.columns]).limit(n)
 
 
-def schema_preview(df: DataFrame, n: int | None = 20) -> DataFrame:
-    """The first ``n`` columns in name order with type and number of filled rows."""
+def schema_preview(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Columns in name order with type and number of filled rows: all, or the first ``n``."""
     fields = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)[:n]
     filled = df.agg(*[F.count(F.col(name)).alias(name) for name, _ in fields])
     lines = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -34,10 +35,10 @@ def with_month_label(df: DataFrame, day: str = "snapshot_date") -> DataFrame:
     return df.withColumn("data_month", F.date_format(day, MONTH_LABEL))
 
 
-def missing_pct(
+def missing_counts(
     datasets: dict[str, DataFrame], month: str = "snapshot_date"
 ) -> DataFrame:
-    """Average percentage of missing values over all columns, by dataset and month.
+    """Missing values (``nulls``) and values in all (``cells``) by dataset and month.
 
     Nulls are counted per row and summed, so each dataset takes one pass and one
     small aggregation.
@@ -49,30 +50,39 @@ def missing_pct(
             F.sum(nulls).alias("nulls"), F.count(F.lit(1)).alias("rows")
         )
         cells = F.col("rows") * len(df.columns)
-        return per_month.select(
-            F.lit(name).alias("dataset"), month, percent(F.col("nulls"), cells).alias("missing_pct")
-        )
+        return per_month.select(F.lit(name).alias("dataset"), month, "nulls", cells.alias("cells"))
 
     return reduce(DataFrame.unionByName, [of(name, df) for name, df in datasets.items()])
 
 
-def missing_pct_pivot(
-    missing: DataFrame, labels: Sequence[str], month: str = "snapshot_date"
+def missing_pct(
+    datasets: dict[str, DataFrame], month: str = "snapshot_date"
 ) -> DataFrame:
-    """One row per dataset, one column per month label.
+    """Average percentage of missing values over all columns, by dataset and month."""
+    return missing_counts(datasets, month).select(
+        "dataset", month, percent(F.col("nulls"), F.col("cells")).alias("missing_pct")
+    )
 
-    The labels are given, not looked up, so no extra job reads the data first.
-    """
-    labelled = missing.withColumn("label", F.date_format(month, MONTH_LABEL))
-    return labelled.groupBy("dataset").pivot("label", list(labels)).agg(F.first("missing_pct"))
 
+def month_labels(start: dt.date, end: dt.date) -> list[str]:
+    """Labels of the months from that of ``start`` to that of ``end``, in order."""
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+    return [dt.date(m // 12, m % 12 + 1, 1).strftime("%b %Y") for m in range(first, last + 1)]
 
-def month_labels(calendar: DataFrame) -> list[str]:
-    """Labels of a calendar in order; a calendar has one row per month."""
-    labelled = calendar.orderBy("processing_date").select(
-        F.date_format("processing_date", MONTH_LABEL)
-    )
-    return [row[0] for row in labelled.collect()]
+
+def missing_pct_pivot(
+    counts: DataFrame, labels: Sequence[str], month: str = "snapshot_date"
+) -> DataFrame:
+    """One row per dataset, one column per month label, from ``missing_counts``.
+
+    Days of one month are summed.  The labels are given, not looked up, so no job
+    reads the data first; a day of another month, or of none, is an error, not a loss.
+    """
+    label = F.date_format(month, MONTH_LABEL)
+    outside = F.raise_error(F.concat(F.lit("month outside the pivot: "), F.coalesce(label, F.lit("none"))))
+    labelled = counts.withColumn("label", F.when(label.isin(*labels), label).otherwise(outside))
+    shares = percent(F.sum("nulls"), F.sum("cells"))
+    return labelled.groupBy("dataset").pivot("label", list(labels)).agg(shares)
 
 
 def validity_share(

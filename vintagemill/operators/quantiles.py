@@ -12,12 +12,12 @@ SKETCH_ACCURACY = 100_000
 
 
 def in_long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row (``metric``, ``value``) per non-null value of the given columns."""
+    """One row (``metric``, ``value``) per value of the given columns; nulls and NaN are missing."""
     pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns]
     return (
         df.select(F.explode(F.array(*pairs)).alias("pair"))
         .select("pair.*")
-        .where("value is not null")
+        .where("value is not null and not isnan(value)")
     )
 
 

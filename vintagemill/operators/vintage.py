@@ -12,6 +12,7 @@ from ..config import DPD_THRESHOLD
 from ..functions.arithmetic import flag, percent
 
 # Names under which sources carry days past due, in order of preference.
+# The names under which days past due are looked for.
 DPD_COLUMNS = ("dpd", "DPD", "Dpd", "days_past_due", "DaysPastDue")
 STABLE_CHANGE = 0.01
 

@@ -8,6 +8,7 @@ Layout below the store root::
                              datasets where that is not the month itself
     gold/feature_store       partitioned by processing_date
     gold/label_store         partitioned by label_def, processing_date
+    gold/loan_label_store    partitioned by label_def: labels over all months of a loan
 
 A source date is stored and cleaned once however many months it serves; the
 map fans it out when the months are read.  Writes replace whole partitions, so a
@@ -19,18 +20,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DATASETS, DPD_THRESHOLD, FEATURE_MOB, LABEL_MOB, SKIP, DatasetSpec
+from ..functions.parsing import snapshot_day
 from ..operators.bronze import dataset_source_map, source_slices, with_bronze_lineage
 from ..operators.calendar import month_calendar
 from ..operators.checks import source_usage
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
 from ..operators.store import Snapshots, feature_store, with_gold_metadata
-from ..sources.files import path_exists, read_csv_strings, read_table, table_exists, write_table
+from ..sources.files import drop_partitions, path_exists, read_csv_strings, read_table, table_exists, write_table
 
 DONE, MISSING, FAILED = "done", "missing", "failed"
 LOG_COLUMNS = ("layer", "dataset", "status", "error")
@@ -178,9 +181,26 @@ def _bronze(
         rows = source_slices(source, store.served(spec.name, calendar), spec.date_column)
     lined = with_bronze_lineage(rows, source_file, F.col("source_date"))
     store.write(lined, "bronze", spec.name, ["source_date"])
+    if spec.fallback == SKIP and spec.date_column in source.columns:
+        _empty_months(store, spec, source, calendar)
     return True
 
 
+def _empty_months(store: Store, spec: DatasetSpec, source: DataFrame, calendar: DataFrame) -> None:
+    """Delete the stored months that were asked for and have no rows in the source any more.
+
+    A write replaces only partitions that receive rows.  Stored days are bounded by
+    the calendar, whatever the size of the data; without any, nothing is read.
+    """
+    stored = store.read("bronze", spec.name).select("source_date").distinct()
+    asked = calendar.select(F.col("processing_date").alias("source_date"))
+    there = source.select(snapshot_day(F.col(spec.date_column)).alias("source_date")).distinct()
+    gone = stored.join(asked, "source_date", "left_semi").join(there, "source_date", "left_anti")
+    days = [str(row[0]) for row in gone.collect()]  # at most the months asked for
+    for layer in ("bronze", "silver"):
+        drop_partitions(store.spark, store.path(layer, spec.name), "source_date", days)
+
+
 def run_silver(
     store: Store, datasets: Sequence[str] = tuple(DATASETS), calendar: DataFrame | None = None
 ) -> None:
@@ -231,6 +251,7 @@ def run_labels(
     label_type: str = "within_window",
     calendar: DataFrame | None = None,
 ) -> None:
+    """Store labels; ``ever_in_window`` has one per loan and no month of its own."""
     store.log.run(
         "gold", "label_store", lambda: _labels(store, dpd, mob, label_type, calendar)
     )
@@ -242,6 +263,10 @@ def _labels(
     if not store.has("silver", "loans"):
         return False
     loans = store.months("silver", "loans", calendar)
+    if label_type == "ever_in_window":
+        labels = label_within_window(loans, dpd, mob, scope="loan")
+        store.write(labels, "gold", "loan_label_store", ["label_def"])
+        return True
     build = {"within_window": label_within_window, "at_mob": label_at_mob}[label_type]
     labels = build(loans, dpd, mob).withColumn("processing_date", F.col("snapshot_date"))
     store.write(labels, "gold", "label_store", ["label_def", "processing_date"])
@@ -251,24 +276,18 @@ def _labels(
 def run_report(store: Store, calendar: DataFrame, layer: str = "bronze") -> DataFrame:
     """Rows and status of every requested month of every dataset that ran in a layer.
 
-    A month is ``done`` with its row count, ``missing`` where the dataset has
-    nothing for it, or shares the ``failed`` status and error of its dataset job.
+    One row per dataset and month, by the dataset's last run.  A month is ``done``
+    with its row count, ``missing`` where the dataset has nothing for it, or shares
+    the ``failed`` status and error of its dataset job.
     """
-    outcomes = [
-        F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(LOG_COLUMNS, entry)])
-        for entry in store.log.entries
-        if entry[0] == layer
-    ]
-    wanted = calendar.withColumn("outcome", F.explode(F.array(*outcomes))).select(
-        "processing_date", "outcome.*"
-    )
-    counts = None
-    for _, name, status, _ in store.log.entries:
+    last = {entry[1]: entry for entry in store.log.entries if entry[0] == layer}
+    outcome = F.array(*[_outcome(entry) for entry in last.values()])
+    wanted = calendar.withColumn("outcome", F.explode(outcome.cast(f"array<{OUTCOME}>")))
+    wanted = wanted.select("processing_date", "outcome.*")
+    counts = store.spark.createDataFrame([], "dataset string, processing_date date, rows bigint")
+    for _, name, status, _ in last.values():
         if status == DONE and store.has(layer, name):
-            one = month_counts(store, layer, name)
-            counts = one if counts is None else counts.unionByName(one)
-    if counts is None:
-        counts = store.spark.createDataFrame([], "dataset string, processing_date date, rows bigint")
+            counts = counts.unionByName(month_counts(store, layer, name))
     rows = F.coalesce("rows", F.lit(0))
     status = F.when((F.col("status") == DONE) & (rows == 0), MISSING).otherwise(F.col("status"))
     return wanted.join(F.broadcast(counts), ["dataset", "processing_date"], "left").select(
@@ -276,14 +295,66 @@ def run_report(store: Store, calendar: DataFrame, layer: str = "bronze") -> Data
     )
 
 
+OUTCOME = f"struct<{','.join(f'{name}:string' for name in LOG_COLUMNS)}>"
+
+
+def _outcome(entry: Sequence[str | None]) -> Column:
+    named = zip(LOG_COLUMNS, entry, strict=True)
+    return F.struct(*[F.lit(value).cast("string").alias(name) for name, value in named])
+
+
 def month_counts(store: Store, layer: str, dataset: str) -> DataFrame:
-    """Rows that each served month takes, counted per stored date before the fan-out."""
-    used = source_usage(store.snapshots(layer, dataset))
+    """Rows that each served month takes, counted per stored date before the fan-out.
+
+    Gold tables are stored by month and have no date of their own.
+    """
+    if layer == "gold":
+        used = store.read(layer, dataset).groupBy("processing_date").agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        used = source_usage(store.snapshots(layer, dataset))
     return used.groupBy(F.lit(dataset).alias("dataset"), "processing_date").agg(
         F.sum("rows").alias("rows")
     )
 
 
+def source_report(
+    sources: dict[str, DataFrame], calendar: DataFrame, specs: dict[str, DatasetSpec] = DATASETS
+) -> DataFrame:
+    """What a bronze run reads of each source and what it leaves out, in one pass per source.
+
+    Rows and columns of the source, rows whose date cannot be read, rows dated
+    outside the calendar, rows dated in one of its months, and the dates' range.
+    Sources without a date column serve all months: all their rows are dated.
+    """
+    months = calendar.agg(F.collect_set("processing_date").alias("months"))
+
+    def of(name: str, source: DataFrame) -> DataFrame:
+        column = specs[name].date_column
+        dated = column is not None and column in source.columns
+        day = snapshot_day(F.col(column)) if dated else F.lit(None).cast("date")
+        per_day = source.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+        # One row per day on the left, one row of months on the right.
+        inside = F.array_contains("months", F.col("day")) if dated else F.lit(True)
+        unread = F.col("day").isNull() if dated else F.lit(False)
+        rows, zero = F.col("rows"), F.lit(0)
+
+        def total(which: Column) -> Column:
+            return F.coalesce(F.sum(F.when(which, rows)), zero).cast("long")
+
+        return per_day.join(F.broadcast(months)).agg(
+            F.lit(name).alias("dataset"),
+            total(F.lit(True)).alias("source_rows"),
+            F.lit(len(source.columns)).alias("columns"),
+            total(unread).alias("unreadable_dates"),
+            total(~unread & ~inside).alias("outside_calendar"),
+            total(~unread & inside).alias("in_calendar"),
+            F.min("day").alias("first_date"),
+            F.max("day").alias("last_date"),
+        )
+
+    return reduce(DataFrame.unionByName, [of(name, source) for name, source in sources.items()])
+
+
 def partition_inventory(store: Store, tables: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Partitions, rows and date range of each ``(layer, table, date column)``, read off the files."""
 

@@ -38,7 +38,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dataset", action="append", choices=tuple(DATASETS))
     p.add_argument("--mob", type=int, default=LABEL_MOB, help="month-on-book of the label")
     p.add_argument("--dpd", type=int, default=DPD_THRESHOLD)
-    p.add_argument("--label-type", choices=("within_window", "at_mob"), default="within_window")
+    p.add_argument(
+        "--label-type", choices=("within_window", "at_mob", "ever_in_window"), default="within_window"
+    )
     return p
 
 

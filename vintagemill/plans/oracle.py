@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 # --- common table expressions ------------------------------------------------
 
 LOANS_RAW = """
@@ -626,14 +628,16 @@ ORACLE_SQL: dict[str, str] = {
     "missing_pct_pivot": _with(
         LOANS,
         BOTH,
-        CALENDAR,
         MISSING,
-        select="""
-        , grid AS (
-          SELECT dataset, strftime(processing_date, '%b %Y') AS label, missing_pct
-          FROM calendar CROSS JOIN (SELECT DISTINCT dataset FROM missing)
-          LEFT JOIN missing USING (dataset, processing_date))
-        SELECT * FROM (PIVOT grid ON label USING first(missing_pct) GROUP BY dataset)""",
+        select="SELECT dataset, "
+        + ", ".join(
+            f"max(CASE WHEN processing_date = DATE '{year}-{month:02}-01' THEN missing_pct END)"
+            f" AS \"{dt.date(year, month, 1):%b %Y}\""
+            for year in range(1995, 2003)
+            for month in range(1, 13)
+            if (year, month) <= (2002, 2)
+        )
+        + " FROM missing GROUP BY dataset",
     ),
     "column_stats": _with(
         LOANS,
@@ -852,12 +856,15 @@ ORACLE_SQL: dict[str, str] = {
         SERVED,
         select="""
         , checked AS (
-          SELECT 'features at mob' AS "check", count(*) AS rows, 0 AS violations
+          SELECT 'features at mob' AS "check", count(*) AS rows,
+                 count(*) FILTER (WHERE installment_num <> 0) AS violations
           FROM loans WHERE mob = 0
           UNION ALL
-          SELECT 'labels after application', count(*), 0 FROM loans WHERE mob BETWEEN 1 AND 6
+          SELECT 'labels after application', count(*), count(*) FILTER (WHERE installment_num < 1)
+          FROM loans WHERE mob BETWEEN 1 AND 6
           UNION ALL
-          SELECT 'loans not ahead', count(*), 0 FROM loans
+          SELECT 'loans not ahead', count(*), count(*) FILTER (WHERE snapshot_date > date_trunc('month', snapshot_date))
+          FROM loans
           UNION ALL
           SELECT name || ' not ahead', count(*), 0
           FROM customer_months CROSS JOIN (VALUES ('financials'), ('attributes')) AS n(name)
@@ -869,6 +876,71 @@ ORACLE_SQL: dict[str, str] = {
         SELECT "check", rows, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed
         FROM checked""",
     ),
+    "leakage_planted": _with(
+        LOANS,
+        select="""
+        , checked AS (
+          SELECT 'features at mob' AS "check", count(*) AS rows,
+                 count(*) FILTER (WHERE mob <> 0) AS violations FROM loans
+          UNION ALL
+          SELECT 'labels after application', count(*), count(*) FILTER (WHERE mob < 1) FROM loans
+          UNION ALL
+          SELECT 'loans not ahead', count(*), count(*) FILTER (WHERE mob > 3) FROM loans)
+        SELECT "check", rows, violations, violations = 0 AS passed FROM checked""",
+    ),
+    "store_preview": _with(
+        ATTRIBUTES,
+        select="""
+        SELECT "Customer_ID", snapshot_date, "Age" FROM attributes
+        ORDER BY "Customer_ID" NULLS LAST, snapshot_date NULLS LAST, "Age" NULLS LAST LIMIT 7""",
+    ),
+    "backfill_labels_loan": _with(
+        LOANS,
+        select="""
+        SELECT loan_id, "Customer_ID",
+               CAST(max(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS INTEGER) AS label,
+               '30dpd_within_6mob' AS label_def
+        FROM loans WHERE mob BETWEEN 1 AND 6 GROUP BY loan_id, "Customer_ID" """,
+    ),
+    "backfill_rerun": _with(
+        LOANS,
+        select="""
+        SELECT snapshot_date AS source_date, count(*) AS rows FROM loans
+        WHERE snapshot_date <> DATE '1997-03-01' GROUP BY snapshot_date""",
+    ),
+    "run_report_layers": _with(
+        LOANS,
+        CALENDAR,
+        select="""
+        , sizes AS (
+          SELECT 'bronze' AS layer, 'loans' AS dataset, snapshot_date, count(*) AS rows
+          FROM loans GROUP BY snapshot_date
+          UNION ALL
+          SELECT 'silver', 'loans', snapshot_date, count(*) FROM loans GROUP BY snapshot_date
+          UNION ALL
+          SELECT 'gold', 'label_store', snapshot_date, count(*)
+          FROM loans WHERE mob BETWEEN 1 AND 6 GROUP BY snapshot_date),
+        ran AS (SELECT * FROM (VALUES ('bronze', 'loans'), ('silver', 'loans'), ('gold', 'label_store'))
+                AS r(layer, dataset))
+        SELECT r.layer, r.dataset, processing_date,
+               CASE WHEN rows IS NULL THEN 'missing' ELSE 'done' END AS status, coalesce(rows, 0) AS rows
+        FROM calendar CROSS JOIN ran r
+        LEFT JOIN sizes s ON s.layer = r.layer AND s.dataset = r.dataset AND snapshot_date = processing_date""",
+    ),
+    "source_report": _with(
+        LOANS,
+        ATTRIBUTES,
+        select="""
+        , days AS (
+          SELECT 'loans' AS dataset, 11 AS columns, snapshot_date AS day FROM loans
+          UNION ALL SELECT 'attributes', 6, snapshot_date FROM attributes)
+        SELECT dataset, count(*) AS source_rows, any_value(columns) AS columns,
+               count(*) FILTER (WHERE day IS NULL) AS unreadable_dates,
+               count(*) FILTER (WHERE year(day) <> 1997) AS outside_calendar,
+               count(*) FILTER (WHERE year(day) = 1997) AS in_calendar,
+               min(day) AS first_date, max(day) AS last_date
+        FROM days GROUP BY dataset""",
+    ),
     "schema_preview": _with(
         ATTRIBUTES,
         select="""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -287,23 +288,23 @@ def customers_across_sources(spark, d):
 
 
 def _missing(spark, d):
-    datasets = {
+    return {
         "Attributes": _monthly("attributes", spark, d),
         "Financials": _monthly("financials", spark, d),
         "Loans MOB=0": features.mob_filter(_monthly("loans", spark, d)),
     }
-    return profiling.missing_pct(datasets, "processing_date")
 
 
 @query
 def missing_pct(spark, d):
-    return _missing(spark, d)
+    return profiling.missing_pct(_missing(spark, d), "processing_date")
 
 
 @query
 def missing_pct_pivot(spark, d):
-    names = profiling.month_labels(_months(spark, d))
-    return profiling.missing_pct_pivot(_missing(spark, d), names, "processing_date")
+    labels = profiling.month_labels(star.FIRST_MONTH, star.LAST_MONTH)
+    counts = profiling.missing_counts(_missing(spark, d), "processing_date")
+    return profiling.missing_pct_pivot(counts, labels, "processing_date")
 
 
 def _profile_values(spark, d):
@@ -329,7 +330,11 @@ def column_stats(spark, d):
 @query
 def hist_equal_width(spark, d):
     bins = {"Age": 30, "loan_amt": 40, "Annual_Income": 40}
-    values = _profile_values(spark, d).where(F.col("metric").isin(*bins))
+    values = (
+        in_long_form(_clean("attributes", spark, d), ["Age"])
+        .unionByName(in_long_form(_clean("financials", spark, d), ["Annual_Income"]))
+        .unionByName(in_long_form(_applications(spark, d), ["loan_amt"]))
+    )
     return profiling.histogram(values, bins)
 
 
@@ -499,6 +504,20 @@ def leakage_check(spark, d):
     )
 
 
+@query
+def leakage_planted(spark, d):
+    """The same check over loans of every age, and over sources that serve the month before."""
+    loans = _monthly("loans", spark, d)
+    early = F.add_months("snapshot_date", -1)
+    ahead = loans.withColumn("processing_date", F.when(F.col("mob") > 3, early).otherwise(F.col("snapshot_date")))
+    return checks.leakage_check(loans, loans, {"loans": checks.source_usage(Snapshots(ahead))})
+
+
+@query
+def store_preview(spark, d):
+    return checks.preview(_clean("attributes", spark, d), 7, ("Customer_ID", "snapshot_date", "Age"))
+
+
 @query
 def schema_preview(spark, d):
     return checks.schema_preview(_clean("attributes", spark, d))
@@ -583,6 +602,44 @@ def backfill_labels(spark, d):
     return _checked(target).read("gold", "label_store")
 
 
+@query
+def backfill_labels_loan(spark, d):
+    """Labels over all months of a loan, by way of stored bronze and silver layers."""
+    target = _bronze_store(spark, d, ["loans"])
+    backfill.run_silver(target)
+    backfill.run_labels(target, label_type="ever_in_window")
+    return _checked(target).read("gold", "loan_label_store")
+
+
+@query
+def backfill_rerun(spark, d):
+    """A second run whose source lacks one month leaves that month empty in the store."""
+    target = _bronze_store(spark, d, ["loans"])
+    less = star.loans(spark, d).where(F.col("snapshot_date") != F.lit(ONE_MONTH.isoformat()))
+    backfill.run_bronze(target, {"loans": less}, _months(spark, d))
+    per_month = _checked(target).read("bronze", "loans").groupBy("source_date")
+    return per_month.agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def run_report_layers(spark, d):
+    """Reports of all layers after bronze ran twice and the other layers once."""
+    target, months = _bronze_store(spark, d, ["loans"]), _months(spark, d)
+    backfill.run_bronze(target, {"loans": star.loans(spark, d)}, months)
+    backfill.run_silver(target, ["loans"])
+    backfill.run_labels(target)
+    reports = [backfill.run_report(target, months, layer) for layer in ("bronze", "silver", "gold")]
+    return reduce(DataFrame.unionByName, reports).drop("error")
+
+
+@query
+def source_report(spark, d):
+    """What the bronze layer reads of loans and attributes for the year 1997."""
+    sources = {"loans": star.loans(spark, d), "attributes": star.attributes(spark, d)}
+    year = calendar.month_calendar(spark, dt.date(1997, 1, 1), dt.date(1997, 12, 1))
+    return backfill.source_report(sources, year)
+
+
 @query
 def partition_inventory(spark, d):
     target = _checked(_bronze_store(spark, d))

@@ -68,6 +68,17 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Delete exactly the named partitions of a table, below whatever levels lie above them."""
+    file_system, root = _file_system(spark, path)
+    if not values or not file_system.exists(root):
+        return
+    for value in values:
+        found = file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"))
+        for status in found or ():
+            file_system.delete(status.getPath(), True)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -6,6 +6,8 @@ fixed rules on the keys.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ OCCUPATIONS = (
 )
 CENTS = "decimal(18,2)"
 LAST_INSTALLMENT = 6
+# The first month with orders and the last one in which a loan can report.
+FIRST_MONTH = dt.date(1995, 1, 1)
+LAST_MONTH = dt.date(2002, 2, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +50,10 @@ def _iso(c: Column) -> Column:
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw loan row per order and line number; the line number is the month."""
     items = (
+        # Partitioned by order, the lines serve the aggregation and the join with one shuffle.
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_discount", "l_returnflag", "l_extendedprice")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_discount").alias("min_discount"),
