@@ -1,44 +1,75 @@
-"""A left join that keeps every match and survives hot keys on its right side."""
+"""Left joins that keep every match and survive hot keys on their right sides."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def split_left_join(
+def split_left_joins(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[DataFrame],
     keys: Sequence[str],
     rows_per_split: int | None = 1_000_000,
 ) -> DataFrame:
-    """``left`` LEFT JOIN ``right``; a key with many right rows spreads over several tasks.
-
-    Spark cannot split the right side of a left join at run time, so keys with
-    more than ``rows_per_split`` right rows are numbered into splits up front:
-    the left row is repeated per split and each right row falls into one.  There
-    are at most ``rows(right) / rows_per_split`` such keys, which bounds the
-    broadcast.  The split of a right row follows from its content and partition,
-    so a retried task repeats it, and copies in different partitions separate.
-    ``None`` gives the plain join, for a right side known to be unique.
+    """``left`` LEFT JOIN each of ``rights`` on the same keys; hot keys spread over several tasks.
+
+    Spark cannot split the right side of a left join at run time.  Keys with more
+    than ``rows_per_split`` rows on a right side are found in one aggregation over
+    all sides; there are at most ``rows / rows_per_split`` of them, which bounds
+    their broadcast.  All other keys go through a plain chain of joins, for which
+    the left side and each right side shuffle once.  Rows of hot keys take a
+    salted path of their own, which costs nothing where there are none.  ``None``
+    gives the plain chain alone, for right sides known to be unique.
     """
     keys = list(keys)
+    if not rights:
+        return left
     if rows_per_split is None:
-        return left.join(right, keys, "left")
-    hot = (
-        right.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows_per_split)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits"))
+        return reduce(lambda df, right: df.join(right, keys, "left"), rights, left)
+    sides = [right.select(F.lit(i).alias("_side"), *keys) for i, right in enumerate(rights)]
+    counted = reduce(DataFrame.unionAll, sides).groupBy("_side", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counted.where(F.col("_rows") > rows_per_split)
+    hot_keys = F.broadcast(hot.select(*keys).distinct())
+
+    def part(df: DataFrame, how: str) -> DataFrame:
+        return df.join(hot_keys, keys, how)
+
+    cold = reduce(
+        lambda df, right: df.join(part(right, "left_anti"), keys, "left"), rights, part(left, "left_anti")
     )
-    repeated = left.join(F.broadcast(hot), keys, "left").withColumn(
+    spread = part(left, "left_semi")
+    for i, right in enumerate(rights):
+        splits = hot.where(F.col("_side") == i).select(
+            *keys, F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits")
+        )
+        spread = _salted(spread, part(right, "left_semi"), keys, splits)
+    return cold.unionByName(spread)
+
+
+def split_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_split: int | None = 1_000_000
+) -> DataFrame:
+    """``split_left_joins`` with one right side."""
+    return split_left_joins(left, [right], keys, rows_per_split)
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], splits: DataFrame) -> DataFrame:
+    """Left join in which a left row is repeated per split and each right row falls into one.
+
+    The split of a right row follows from its content and partition, so a retried
+    task repeats it, and copies in different partitions separate.
+    """
+    splits = F.broadcast(splits)
+    repeated = left.join(splits, keys, "left").withColumn(
         "_split", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
     )
     number = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.col("_splits"))
     spread = (
-        right.join(F.broadcast(hot), keys, "left")
+        right.join(splits, keys, "left")
         .withColumn("_split", F.when(F.col("_splits") > 0, number).otherwise(0).cast("int"))
         .withColumn("_matched", F.lit(True))
         .drop("_splits")

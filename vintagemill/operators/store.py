@@ -20,7 +20,7 @@ from .features import (
     loan_partials,
     mob_filter,
 )
-from .joins import split_left_join
+from .joins import split_left_joins
 
 SPINE = (*KEYS, "snapshot_date")
 
@@ -175,15 +175,18 @@ def feature_store(
     )
     if on_duplicate != "fanout":
         rows_per_split = None
+    waiting: list[DataFrame] = []
     for dataset, build in builders:
         keys = (dataset.month_key, "Customer_ID")
-        if dataset.served is not None:
-            store = store.join(F.broadcast(dataset.served), "processing_date", "left")
         features = build(resolve_duplicates(dataset.frame, keys, on_duplicate), keys)
-        store = split_left_join(store, features, keys, rows_per_split)
-        if dataset.served is not None:
-            store = store.drop("source_date")
-    return store
+        if dataset.served is None:
+            # Sides that match the month itself share one shuffle of the spine.
+            waiting.append(features)
+            continue
+        store, waiting = split_left_joins(store, waiting, KEYS, rows_per_split), []
+        store = store.join(F.broadcast(dataset.served), "processing_date", "left")
+        store = split_left_joins(store, [features], keys, rows_per_split).drop("source_date")
+    return split_left_joins(store, waiting, KEYS, rows_per_split)
 
 
 def with_gold_metadata(
