@@ -259,25 +259,40 @@ def _across(rows: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
 def _settled(rows: DataFrame, settings: Settings) -> DataFrame:
     """Verified links (a, b) that connect all that is similar inside the clusters of ``rows``.
 
-    ``rows`` has cluster, rep, component, n, sketch and text.  Sets are made once per
-    piece, and only of documents with a likely partner.
+    ``rows`` has cluster, rep, component, n, sketch and text.  The shingles of a piece
+    are numbered once; marking those of one document counts what it shares with all
+    others in one pass over their numbers.
     """
     keys = ["cluster"]
     dealt = in_blocks(rows, keys, F.col("rep"), settings.block)
 
     def links(piece: pa.Table) -> pa.RecordBatch:
-        i, j, similarity = _likely_pairs(piece, settings)
+        i, j, _ = _likely_pairs(piece, settings)
         _, component = np.unique(piece["component"].to_numpy(), return_inverse=True)
         wanted, place = np.unique(np.concatenate((i, j)), return_inverse=True)
+        at_i, at_j = place[: len(i)], place[len(i) :]
         sets = list(_sets(piece["text"].take(pa.array(wanted)), settings))
-        joined, kept = Union(len(component)), []
-        for k in np.argsort(-similarity, kind="stable").tolist():
-            one, two = int(component[i[k]]), int(component[j[k]])
-            if joined.root(one) == joined.root(two):
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        begin = np.concatenate(([0], np.cumsum(sizes)))
+        known, number = np.unique(np.concatenate(sets) if sets else np.empty(0), return_inverse=True)
+        marked, joined, kept = np.zeros(len(known), dtype=bool), Union(len(component)), []
+        # Likely pairs come grouped by i.
+        for group in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1):
+            if not len(group):
+                continue
+            own = at_i[group[0]]
+            root = joined.root(int(component[i[group[0]]]))
+            open_pairs = [k for k in group.tolist() if joined.root(int(component[j[k]])) != root]
+            if not open_pairs:
                 continue
-            if similar(sets[place[k]], sets[place[len(i) + k]], settings):
-                joined.join(one, two)
-                kept.append(k)
+            marked[number[begin[own] : begin[own + 1]]] = True
+            others = at_j[open_pairs]
+            shared = np.array([np.count_nonzero(marked[number[begin[o] : begin[o + 1]]]) for o in others])
+            marked[number[begin[own] : begin[own + 1]]] = False
+            union = sizes[own] + sizes[others] - shared
+            for k in np.array(open_pairs)[100 * shared >= settings.percent * union].tolist():
+                if joined.join(int(component[i[k]]), int(component[j[k]])):
+                    kept.append(k)
         return _pairs_of(piece["rep"].to_numpy(), i[kept], j[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
