@@ -397,3 +397,39 @@ def keep_one(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 def op1_hyperminhash(spark, folder: str) -> DataFrame:
     """Near-duplicate components of all documents on shingles of four words."""
     return near_duplicates(documents(spark, folder), Settings(words=4))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN []
+         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    END) AS shingle
+  FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), near AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+), links AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (
+  SELECT id, min(other) AS component_id FROM reach GROUP BY id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l ON l.id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""

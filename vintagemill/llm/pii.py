@@ -74,7 +74,8 @@ def base_spans(text: str) -> list[Span]:
     """
     found = list(_emails(text))
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        parts = [part.lstrip("0") for part in m[0].split(".")]
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = digits_of(m[0]) if len(m[0]) <= 40 else ""

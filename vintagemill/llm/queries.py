@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op6_byte_bpe
 from .cosine import OP9_SQL, op9_sign_hashing
-from .hyperminhash import op1_hyperminhash
+from .hyperminhash import OP1_SQL, op1_hyperminhash
 from .mixing import OP7_SQL, op7_curriculum_mix
 from .passages import op10_compact_windows
 from .pii import op2_bilstm_pii
@@ -32,4 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_compact_windows,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op7_curriculum_mix": OP7_SQL, "op9_sign_hashing": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_hyperminhash": OP1_SQL,
+    "op7_curriculum_mix": OP7_SQL,
+    "op9_sign_hashing": OP9_SQL,
+}
