@@ -326,22 +326,22 @@ def source_report(
     outside the calendar, rows dated in one of its months, and the dates' range.
     Sources without a date column serve all months: all their rows are dated.
     """
-    months = calendar.agg(F.collect_set("processing_date").alias("months"))
+    # One row per calendar month, matched with one row per day of a source.
+    months = calendar.select(F.col("processing_date").alias("day"), F.lit(True).alias("asked"))
 
     def of(name: str, source: DataFrame) -> DataFrame:
         column = specs[name].date_column
         dated = column is not None and column in source.columns
         day = snapshot_day(F.col(column)) if dated else F.lit(None).cast("date")
         per_day = source.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-        # One row per day on the left, one row of months on the right.
-        inside = F.array_contains("months", F.col("day")) if dated else F.lit(True)
+        inside = F.coalesce("asked", F.lit(False)) if dated else F.lit(True)
         unread = F.col("day").isNull() if dated else F.lit(False)
         rows, zero = F.col("rows"), F.lit(0)
 
         def total(which: Column) -> Column:
             return F.coalesce(F.sum(F.when(which, rows)), zero).cast("long")
 
-        return per_day.join(F.broadcast(months)).agg(
+        return per_day.join(F.broadcast(months), "day", "left").agg(
             F.lit(name).alias("dataset"),
             total(F.lit(True)).alias("source_rows"),
             F.lit(len(source.columns)).alias("columns"),
