@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import gc
 import re
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from .tables import documents
+from .worker import kept_table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 STATES = 400_000
@@ -198,6 +198,8 @@ class Transducer:
         if whole is not None:
             return [whole]
         if len(self._states) > self._bound:
+            for state in self._states.values():
+                state.clear()  # states refer to each other: let go of them without a collector
             self._reset()
         state, ids, last = self._start, [], -1
         for byte in piece:
@@ -253,12 +255,8 @@ def split(text: str) -> list[str]:
     return (_FULL if _OTHER.search(text) else _PLAIN).findall(text)
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> _Pieces:
-    made = _Pieces(Transducer(read_ranks(path)))
-    gc.freeze()  # the tables live as long as the worker: no need to trace them again and again
-    gc.set_threshold(50_000, 20, 100)
-    return made
+    return kept_table(("bpe", path), lambda: _Pieces(Transducer(read_ranks(path))))
 
 
 @functools.lru_cache(maxsize=2)

@@ -9,7 +9,6 @@ in capitals, tables, symbols or loops does not.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -22,6 +21,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType
 
 from .tables import documents
 from .textbytes import Hashes, Piece, Words, WordTable, mix, per_row, pieces, words
+from .worker import kept_table
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS = 50
@@ -50,9 +50,12 @@ MOST_FALLBACK = 0.25
 LEAST_ENTROPY = 0.42
 
 
-@functools.lru_cache(maxsize=2)
 def _pieces_of(path: str) -> tuple[WordTable, np.ndarray]:
     """Token ids per word, and which ids are byte-fallback tokens."""
+    return kept_table(("fertility", path), lambda: _read_pieces(path))
+
+
+def _read_pieces(path: str) -> tuple[WordTable, np.ndarray]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     fallback = np.array([model.is_byte(i) for i in range(model.vocab_size())])
 

@@ -14,7 +14,6 @@ first stays: starts from left to right, at a start shorter entries first.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType
 
 from .tables import documents
+from .worker import kept_table
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
@@ -137,9 +137,8 @@ class Counter:
         return count + (self.word(first) if first else 0)
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
-    return Counter(read_vocabulary(path))
+    return kept_table(("unigram", path), lambda: Counter(read_vocabulary(path)))
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
