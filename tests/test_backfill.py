@@ -192,13 +192,13 @@ def test_months_with_other_columns(spark, tmp_path):
 
 
 def test_scratch_folder_follows_the_session():
+    """The shared folder that the session names, else its warehouse, whatever the master."""
+
     class Session:
-        def __init__(self, master, **conf):
-            self.sparkContext = type("Context", (), {"master": master})
-            self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: conf.get("dir", default))})
-
-    shared = files.scratch_folder(Session("yarn", dir="hdfs://shared/tmp/"))
-    assert shared.startswith("hdfs://shared/tmp/vintagemill-")
-    assert files.scratch_folder(Session("local[2]")).startswith("/tmp/run-")
-    with pytest.raises(ValueError):
-        files.scratch_folder(Session("yarn"))
+        def __init__(self, **conf):
+            self.conf = type("Conf", (), {"get": staticmethod(lambda name, *default: conf.get(name, *default))})
+
+    named = {"spark.checkpoint.dir": "hdfs://shared/tmp/", "spark.sql.warehouse.dir": "hdfs://wh"}
+    assert files.scratch_folder(Session(**named)).startswith("hdfs://shared/tmp/vintagemill-")
+    del named["spark.checkpoint.dir"]
+    assert files.scratch_folder(Session(**named)).startswith("hdfs://wh/scratch/vintagemill-")
