@@ -32,8 +32,8 @@ from .tables import documents
 from .worker import kept_table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-STATES = 400_000
-PIECES = 400_000
+STATES = 300_000
+PIECES = 350_000
 _BYTES = [bytes((i,)) for i in range(256)]
 
 

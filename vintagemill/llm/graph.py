@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import written
+from .worker import give_back
 
 
 def _is_flat(edges: DataFrame) -> bool:
@@ -100,6 +101,7 @@ def by_piece(
             held.append(batch.slice(start, end - start))
             start = end
     yield from done()
+    give_back()
 
 
 class Union:

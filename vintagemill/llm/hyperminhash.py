@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .graph import Union, by_piece, components, forest, in_blocks
 from .tables import documents, written
-from .textbytes import LOWER, Hashes, Piece, pieces, shingles, words
+from .textbytes import LOWER, Hashes, Piece, pieces, shingles, task_pieces, words
 
 
 @dataclass(frozen=True)
@@ -132,7 +132,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``set_id`` (a digest of the set, null if empty) and ``sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in task_pieces(batches):
             values, begin = shingle_sets(piece, settings.words)
             registers = sketch(values, begin, settings)
             ends = zip(begin[:-1], begin[1:], strict=True)

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType
 
 from .pii_model import KINDS, TAGS, Network, Settings, character_classes
 from .tables import documents
-from .textbytes import Piece, per_row, pieces
+from .textbytes import Piece, per_row, pieces, task_pieces
 
 SAMPLE_ROWS = 3000
 SAMPLE_WINDOWS = 3000
@@ -283,7 +283,7 @@ def find(docs: DataFrame, network: Network | None, text: str = "text", keep_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(network)
-        for piece in pieces(batches, text):
+        for piece in task_pieces(batches, text):
             at = _touched(piece)
             spans: list[list] = [[] for _ in range(len(piece))]
             for i, own in zip(at, finder.spans([piece.text(i) for i in at]), strict=True):
@@ -316,7 +316,7 @@ def redact(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(network)
-        for piece in pieces(batches, text):
+        for piece in task_pieces(batches, text):
             at = _touched(piece)
             old = piece.rows.column(text).to_pylist()
             for i, spans in zip(at, finder.spans([old[i] for i in at]), strict=True):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType
 
 from .tables import documents
-from .textbytes import Hashes, Piece, Words, WordTable, mix, per_row, pieces, words
+from .textbytes import Hashes, Piece, Words, WordTable, mix, per_row, pieces, task_pieces, words
 from .worker import kept_table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -157,7 +157,7 @@ def measure(
     kept = [c for c in docs.columns if (keep_text or c != text) and c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
+        for piece in task_pieces(batches, text):
             hashed, found = Hashes(piece.data), words(piece)
             hashes = hashed.ranges(found.starts, found.ends)
             base = base_counts(piece, hashed, found, hashes)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from .worker import give_back
+
 PIECE_BYTES = 1 << 20
 U64 = np.uint64
 
@@ -114,6 +116,12 @@ def pieces(
             i = j
 
 
+def task_pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[Piece]:
+    """``pieces`` of all batches of a task; at their end freed memory goes back to the system."""
+    yield from pieces(batches, column)
+    give_back()
+
+
 def words(piece: Piece) -> Words:
     """All words of a piece; a word never crosses from one text into the next."""
     inside = IS_WORD[piece.data]
