@@ -35,8 +35,11 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of every copy, and the digest of the bytes that they decode to."""
-    return bpe.round_trip(docs).select(
+    """Token ids of every copy, and the digest of the bytes that they decode to.
+
+    Workers have served other stages before, so they remember fewer pieces here.
+    """
+    return bpe.round_trip(docs, remembered=120_000).select(
         "doc_id",
         "lang",
         "source",

@@ -221,18 +221,18 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Packed token ids of pieces seen before: two generations of at most ``PIECES`` each."""
+    """Packed token ids of pieces seen before: two generations of at most ``bound`` each."""
 
-    def __init__(self, machine: Transducer):
+    def __init__(self, machine: Transducer, bound: int = PIECES):
         super().__init__()
-        self._machine, self._older = machine, {}
+        self._machine, self._older, self._bound = machine, {}, bound
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._older.get(piece)
         if ids is None:
             ids = np.array(self._machine.encode(piece.encode()), dtype=np.int32).tobytes()
         if len(piece) <= 64:
-            if len(self) >= PIECES:
+            if len(self) >= self._bound:
                 self._older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -255,8 +255,10 @@ def split(text: str) -> list[str]:
     return (_FULL if _OTHER.search(text) else _PLAIN).findall(text)
 
 
-def encoder(path: str) -> _Pieces:
-    return kept_table(("bpe", path), lambda: _Pieces(Transducer(read_ranks(path))))
+def encoder(path: str, remembered: int = PIECES) -> _Pieces:
+    """``remembered`` bounds the pieces and states that a worker holds; results do not depend on it."""
+    made = ("bpe", path, remembered)
+    return kept_table(made, lambda: _Pieces(Transducer(read_ranks(path), remembered), remembered))
 
 
 @functools.lru_cache(maxsize=2)
@@ -387,7 +389,9 @@ def decode(tokens: DataFrame, path: str | None = None, ids: str = "token_ids") -
     return tokens.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, path: str | None = None, text: str = "text", remembered: int = PIECES
+) -> DataFrame:
     """``encode`` and ``decode`` in one pass: ``token_ids`` and ``decoded`` (binary).
 
     The bytes are decoded from the ids, not copied from the text.
@@ -396,7 +400,7 @@ def round_trip(docs: DataFrame, path: str | None = None, text: str = "text") ->
     kept = _kept(docs, text, "token_ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, vocabulary = encoder(path), token_bytes(path)
+        known, vocabulary = encoder(path, remembered), token_bytes(path)
         for part in _parts(batches):
             ids = _encoded(part.column(text).to_pylist(), known)
             texts = ("".join(decode_stream(value.tolist(), vocabulary)) for value in ids)
