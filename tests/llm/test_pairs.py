@@ -311,3 +311,39 @@ def test_sliding_minima():
         got = passages._smallest(values, length)
         expected = [k + int(values[k : k + length].argmin()) for k in range(300 - length + 1)]
         assert got.tolist() == expected
+
+
+def near_rows(texts: dict[int, str], settings) -> set[tuple[int, int]]:
+    """Pairs (i, j) of documents that share a signature and of which i has a near copy of a passage of j."""
+    import pyarrow as pa
+
+    from vintagemill.llm.textbytes import pieces
+
+    values, holders = {}, defaultdict(set)
+    for i, text in texts.items():
+        [piece] = pieces([pa.RecordBatch.from_arrays([pa.array([text])], ["text"])])
+        values[i], first = passages.sequences(piece, settings.words)
+        for key in passages.stretches(values[i], first, settings)[0].tolist():
+            holders[key].add(i)
+    pairs = {(i, j) for group in holders.values() for i in group for j in group if i != j}
+    return {(i, j) for i, j in pairs if passages.near_windows(values[i], values[j], settings).any()}
+
+
+def test_chains_of_edited_copies(spark):
+    draw = random.Random(21)
+
+    def fresh(n):
+        return [f"w{draw.randrange(10**7)}" for _ in range(n)]
+
+    texts = {}
+    for trial in range(60):
+        original = fresh(55)
+        for k, at in ((1, None), (0, draw.randrange(55)), (2, draw.randrange(55))):
+            copy = list(original)
+            if at is not None:
+                copy[at] = f"edit{trial}x{k}"
+            texts[10 * trial + k] = " ".join(fresh(30) + copy + fresh(30))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    settings = passages.Settings()
+    got = {r.doc_id for r in passages.repeated_passages(rows, settings).collect()}
+    assert got >= {i for i, _ in near_rows(texts, settings)}

@@ -73,6 +73,32 @@ def in_blocks(rows: DataFrame, keys: Sequence[str], member: Column, block: int)
     return dealt.repartition(*piece).sortWithinPartitions(*piece)
 
 
+def across_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str], member: Column, block: int) -> DataFrame:
+    """``left`` (``side`` 0) and ``right`` (1) dealt so that any row of one meets any of the other in its group.
+
+    Both are cut as by ``in_blocks``, each by its own size; a piece holds a part of each.
+    """
+    keys = list(keys)
+
+    def parts(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+
+    counts = parts(left, "lefts").join(parts(right, "rights"), keys)
+
+    def dealt(rows: DataFrame, side: int) -> DataFrame:
+        own, other = (("left_part", "lefts"), ("right_part", "rights"))[:: -1 if side else 1]
+        return (
+            rows.join(counts, keys)
+            .withColumn(own[0], F.pmod(F.xxhash64(member), F.col(own[1])).cast("int"))
+            .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
+            .withColumn("side", F.lit(side))
+            .drop("lefts", "rights")
+        )
+
+    piece = [*keys, "left_part", "right_part"]
+    return dealt(left, 0).unionByName(dealt(right, 1)).repartition(*piece).sortWithinPartitions(*piece)
+
+
 def by_piece(
     batches: Iterable[pa.RecordBatch], keys: Sequence[str], run: Callable[[pa.Table], pa.RecordBatch | None]
 ) -> Iterator[pa.RecordBatch]:
