@@ -347,3 +347,41 @@ def test_chains_of_edited_copies(spark):
     settings = passages.Settings()
     got = {r.doc_id for r in passages.repeated_passages(rows, settings).collect()}
     assert got >= {i for i, _ in near_rows(texts, settings)}
+
+
+def views(texts: list[np.ndarray], places: list[int], settings) -> np.ndarray:
+    reach = settings.length + settings.spare
+    padded = [np.concatenate((np.zeros(reach - 1), x, np.zeros(reach - 1))).astype(np.uint32) for x in texts]
+    return np.array([x[p : p + 2 * reach - 1] for x, p in zip(padded, places, strict=True)])
+
+
+def test_blocks_count_shingles_wherever_they_stand():
+    draw, settings = random.Random(8), passages.Settings()
+    lost = 0
+    for trial in range(300):
+        base = [draw.randrange(1, 10**9) for _ in range(60)]
+        other, at = list(base), draw.randrange(60)
+        edit = trial % 3
+        if edit == 0:
+            other.insert(at, draw.randrange(1, 10**9))
+        elif edit == 1:
+            del other[at]
+        else:
+            other[at] = draw.randrange(1, 10**9)
+        both = []
+        for body in (base, other):
+            body = [draw.randrange(1, 10**9) for _ in range(20)] + body + [draw.randrange(1, 10**9) for _ in range(20)]
+            grams = [tuple(body[k : k + settings.words]) for k in range(len(body) - settings.words + 1)]
+            both.append(np.array([hash(g) % (2**32 - 1) + 1 for g in grams], dtype=np.uint32))
+        same = [x for x in both[0].tolist() if x in set(both[1].tolist())]
+        shared = same[draw.randrange(len(same))]
+        places = [int(np.flatnonzero(x == shared)[0]) for x in both]
+        args = np.array([1, 2]), np.array(places), np.array([0, 1]), np.array([0, 1]), np.array([True, True])
+        got = {row[2] for row in passages.compared(views(both, places, settings), *args, settings)}
+        for i, (own, rest) in enumerate((both, both[::-1])):
+            close = np.flatnonzero(passages.near_windows(own, rest, settings))
+            # Only windows that hold the shared minimum are the block's to find.
+            held = close[(close <= places[i]) & (places[i] < close + settings.length)]
+            assert len(held) == 0 or i + 1 in got
+            lost += len(held) > 0
+    assert lost > 300
