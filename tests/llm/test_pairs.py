@@ -385,3 +385,21 @@ def test_blocks_count_shingles_wherever_they_stand():
             assert len(held) == 0 or i + 1 in got
             lost += len(held) > 0
     assert lost > 300
+
+
+def test_each_row_of_a_block_gets_its_own_words():
+    settings = passages.Settings()
+    base, fresh = list(range(1, 71)), iter(range(1000, 10**6))
+    # Row 0 holds 70 shingles, rows 1 and 2 its first and its last 50, row 3 none.
+    first = [next(fresh) for _ in range(20)] + base[:50] + [next(fresh) for _ in range(20)]
+    last = [next(fresh) for _ in range(30)] + base[20:] + [next(fresh) for _ in range(20)]
+    texts = [np.array(x) for x in (base, first, last, [next(fresh) for _ in range(90)])]
+    places = [35, 55, 45, 40]
+    args = np.array([1, 2, 3, 4]), np.array(places), np.arange(4), np.arange(4)
+    rows = passages.compared(views(texts, places, settings), *args, np.ones(4, dtype=bool), settings)
+    words = {row[2]: (row[1], *row[3:]) for row in rows}
+    # A window may hold five foreign shingles of 46, on either side.
+    assert len(rows) == 3
+    assert words[1] == (2, 0, 74)
+    assert words[2] == (1, 15, 79)
+    assert words[3] == (1, 25, 89)
