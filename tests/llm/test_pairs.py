@@ -403,3 +403,30 @@ def test_each_row_of_a_block_gets_its_own_words():
     assert words[1] == (2, 0, 74)
     assert words[2] == (1, 15, 79)
     assert words[3] == (1, 25, 89)
+
+
+@pytest.mark.parametrize("edit", ["changed", "inserted"])
+def test_short_near_copies_share_a_signature(edit):
+    settings, rng, trials = passages.Settings(), np.random.default_rng(5), 2000
+
+    def grams(words):
+        total = np.zeros(len(words) - settings.words + 1, dtype=np.uint64)
+        for k in range(settings.words):
+            total = hyperminhash_mix(total * np.uint64(31) + words[k : k + len(total)])
+        return total
+
+    def fresh(n):
+        return rng.integers(1, 2**62, n).astype(np.uint64)
+
+    rows, missed = [], 0
+    for _ in range(trials):
+        base = fresh(settings.least)
+        other = np.insert(base, 25, fresh(1)) if edit == "inserted" else np.where(np.arange(50) == 25, fresh(1), base)
+        rows += [grams(np.concatenate((fresh(40), x, fresh(40)))) for x in (base, other)]
+    first = np.cumsum([0, *map(len, rows)])
+    key, row, _ = passages.stretches(np.concatenate(rows), first, settings)
+    keys = [set() for _ in rows]
+    for k, r in zip(key.tolist(), row.tolist(), strict=True):
+        keys[r].add(k)
+    missed = sum(not keys[2 * t] & keys[2 * t + 1] for t in range(trials))
+    assert missed <= trials // 1000
