@@ -202,3 +202,30 @@ def test_scratch_folder_follows_the_session():
     assert files.scratch_folder(Session(**named)).startswith("hdfs://shared/tmp/vintagemill-")
     del named["spark.checkpoint.dir"]
     assert files.scratch_folder(Session(**named)).startswith("hdfs://wh/scratch/vintagemill-")
+
+
+@pytest.mark.parametrize("month", [None, FEB])
+def test_emptied_month_leaves_every_layer(spark, source, tmp_path, month):
+    store = backfill.Store(spark, str(tmp_path / "store"))
+    months = month_calendar(spark, JAN, MAR)
+    loans = files.read_csv_strings(spark, f"{source}/{DATASETS['loans'].source_file}")
+    backfill.run_bronze(store, {"loans": loans}, months)
+    backfill.run_silver(store, ["loans"])
+    for mob in (1, 2):
+        backfill.run_labels(store, mob=mob)
+    backfill.run_features(store, mob=0)
+    days = {name: {r.processing_date for r in store.read("gold", name).collect()} for name in ("label_store", "feature_store")}
+    assert FEB in days["label_store"] and FEB in days["feature_store"]
+    asked = month_calendar(spark, month or JAN, month or MAR)
+    less = loans.where("snapshot_date not in ('2/1/2023', '2023-02-01')")
+    backfill.run_bronze(store, {"loans": less}, asked)
+    backfill.run_silver(store, ["loans"], asked)
+    backfill.run_labels(store, mob=2, calendar=month and asked)
+    backfill.run_features(store, mob=0, calendar=month and asked)
+    assert not store.log.failures()
+    assert FEB not in {r.source_date for r in store.read("silver", "loans").collect()}
+    left = {(r.label_def, r.processing_date) for r in store.read("gold", "label_store").collect()}
+    # The other definition was not run again and keeps its month.
+    assert {d for name, d in left if name.endswith("2mob")} == days["label_store"] - {FEB}
+    assert FEB in {d for name, d in left if name.endswith("1mob")}
+    assert {r.processing_date for r in store.read("gold", "feature_store").collect()} == days["feature_store"] - {FEB}

@@ -33,7 +33,15 @@ from ..operators.checks import source_usage
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
 from ..operators.store import Snapshots, feature_store, with_gold_metadata
-from ..sources.files import drop_partitions, path_exists, read_csv_strings, read_table, table_exists, write_table
+from ..sources.files import (
+    drop_partitions,
+    partition_files,
+    path_exists,
+    read_csv_strings,
+    read_table,
+    table_exists,
+    write_table,
+)
 
 DONE, MISSING, FAILED = "done", "missing", "failed"
 LOG_COLUMNS = ("layer", "dataset", "status", "error")
@@ -226,6 +234,27 @@ def _silver(store: Store, dataset: str, calendar: DataFrame | None) -> bool:
     return True
 
 
+def _rebuild(
+    store: Store, rows: DataFrame | None, name: str, calendar: DataFrame | None, label_def: str | None = None
+) -> None:
+    """Write a gold table and delete the stored months that were asked for and got no rows.
+
+    Without a calendar every stored month was asked for.  Months whose files are
+    the same as before the write got none.  ``label_def`` limits this to one definition.
+    """
+    path = store.path("gold", name)
+    months = path if label_def is None else f"{path}/label_def={label_def}"
+    before = partition_files(store.spark, months, "processing_date")
+    if rows is not None:
+        levels = [] if label_def is None else ["label_def"]
+        store.write(rows, "gold", name, [*levels, "processing_date"])
+    after = partition_files(store.spark, months, "processing_date")
+    gone = {day for day, files in before.items() if after.get(day) == files}
+    if calendar is not None and gone:
+        gone &= {str(row[0]) for row in calendar.select("processing_date").collect()}
+    drop_partitions(store.spark, months, "processing_date", sorted(gone))
+
+
 def run_features(
     store: Store, mob: int = FEATURE_MOB, calendar: DataFrame | None = None, **options
 ) -> None:
@@ -235,12 +264,13 @@ def run_features(
 def _features(store: Store, mob: int, calendar: DataFrame | None, options: dict) -> bool:
     inputs = {name: store.snapshots("silver", name, calendar) for name in DATASETS}
     if all(dataset is None for dataset in inputs.values()):
+        _rebuild(store, None, "feature_store", calendar)
         return False
     if inputs["loans"] is not None:
         inputs["loans"] = store.months("silver", "loans", calendar)
     features = feature_store(**inputs, mob=mob, **options)
     rows = with_gold_metadata(features, F.col("processing_date"), mob)
-    store.write(rows, "gold", "feature_store", ["processing_date"])
+    _rebuild(store, rows, "feature_store", calendar)
     return True
 
 
@@ -260,16 +290,19 @@ def run_labels(
 def _labels(
     store: Store, dpd: int, mob: int, label_type: str, calendar: DataFrame | None
 ) -> bool:
+    build = {"within_window": label_within_window, "at_mob": label_at_mob}.get(label_type)
+    label_def = f"{dpd}dpd_at_{mob}mob" if label_type == "at_mob" else f"{dpd}dpd_within_{mob}mob"
     if not store.has("silver", "loans"):
+        if build is not None:
+            _rebuild(store, None, "label_store", calendar, label_def)
         return False
     loans = store.months("silver", "loans", calendar)
     if label_type == "ever_in_window":
         labels = label_within_window(loans, dpd, mob, scope="loan")
         store.write(labels, "gold", "loan_label_store", ["label_def"])
         return True
-    build = {"within_window": label_within_window, "at_mob": label_at_mob}[label_type]
     labels = build(loans, dpd, mob).withColumn("processing_date", F.col("snapshot_date"))
-    store.write(labels, "gold", "label_store", ["label_def", "processing_date"])
+    _rebuild(store, labels, "label_store", calendar, label_def)
     return True
 
 

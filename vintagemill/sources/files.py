@@ -79,6 +79,18 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
             file_system.delete(status.getPath(), True)
 
 
+def partition_files(spark: SparkSession, path: str, column: str) -> dict[str, set[str]]:
+    """The file names of each partition of a table, by its value; a rewritten partition has new names."""
+    file_system, root = _file_system(spark, path)
+    files: dict[str, set[str]] = {}
+    if file_system.exists(root):
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*/*")
+        for status in file_system.globStatus(pattern) or ():
+            value = status.getPath().getParent().getName().split("=", 1)[1]
+            files.setdefault(value, set()).add(status.getPath().getName())
+    return files
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
