@@ -306,9 +306,11 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
 
     A null or empty text, or one without words, has an empty set and is a
     component of its own.  A text of fewer words than a shingle has its whole
-    sequence as one.  Rows that share a doc_id count as one document with all
-    their links.  A row without a doc_id links with nothing, has no component and
-    is kept.  Other columns are not looked at.
+    sequence as one.  Equal sets form a class, named by its smallest doc_id.  Where
+    one doc_id names several classes, one sketch and one text are compared for all
+    of them: near copies of its other texts are not linked, and rows of one doc_id
+    with different texts may lie in different components.  A row without a doc_id
+    links with nothing, has no component and is kept.  Other columns are not looked at.
     """
     settings = settings or Settings()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
