@@ -113,7 +113,7 @@ def test_bad_schedules():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_against_sql(spark, sf_check, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_check}/{table}.parquet'")
     expected = con.sql(queries.ORACLE_SQL[name])
     columns = sorted(expected.columns)

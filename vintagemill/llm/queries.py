@@ -18,6 +18,7 @@ from .quality_model import op8_subword_quality
 from .quality_rules import op4_token_fertility
 from .unigram import op3_viterbi_counts
 from .url_filter import op5_url_trees
+from .versions import OP11_SQL, op11_lookup_sketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_subword_quality,
         op9_sign_hashing,
         op10_compact_windows,
+        op11_lookup_sketch,
         op12_auction_repair,
         op13_periodic_runs,
     )
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_hyperminhash": OP1_SQL,
     "op7_curriculum_mix": OP7_SQL,
     "op9_sign_hashing": OP9_SQL,
+    "op11_lookup_sketch": OP11_SQL,
     "op12_auction_repair": OP12_SQL,
 }
