@@ -155,11 +155,104 @@ def test_report_of_a_broken_and_a_missing_dataset(spark, source, tmp_path):
 
 
 def test_run_without_any_input(spark, tmp_path):
+    """Nothing to clean is a missing dataset; nothing to build gold from is an error."""
     store = backfill.Store(spark, str(tmp_path / "store"))
     backfill.run_silver(store)
     backfill.run_features(store)
     backfill.run_labels(store)
-    assert {status for _, _, status, _ in store.log.entries} == {"missing"}
+    backfill.run_labels(store, label_type="ever_in_window")
+    statuses = {(layer, status) for layer, _, status, _ in store.log.entries}
+    assert statuses == {("silver", "missing"), ("gold", "failed")}
+
+
+@pytest.mark.parametrize("asked", [None, FEB])
+def test_gold_without_input_deletes_nothing(spark, source, tmp_path, asked):
+    root = str(tmp_path / "store")
+    run(spark, source, root)
+    store = backfill.Store(spark, root)
+    backfill.run_labels(store, label_type="ever_in_window")
+    tables = ("feature_store", "label_store", "loan_label_store")
+    before = [rows(store.read("gold", name)) for name in tables]
+    for name in DATASETS:
+        if store.has("silver", name):
+            days = {f.rsplit("=", 1)[1] for f in glob.glob(f"{root}/silver/{name}/source_date=*")}
+            files.drop_partitions(spark, store.path("silver", name), "source_date", sorted(days))
+    calendar = asked and month_calendar(spark, asked, asked)
+    backfill.run_features(store, calendar=calendar)
+    backfill.run_labels(store, calendar=calendar)
+    backfill.run_labels(store, label_type="ever_in_window", calendar=calendar)
+    assert len(store.log.failures()) == 3
+    assert [rows(store.read("gold", name)) for name in tables] == before
+
+
+def clicks_of(spark, *days):
+    data = [(c, "5", "-1", day) for c, day in days]
+    return spark.createDataFrame(data, "Customer_ID string, fe_1 string, fe_2 string, snapshot_date string")
+
+
+def served(store, name="clickstream"):
+    if not store.has("served", name):
+        return {}
+    return {r.processing_date: r.source_date for r in store.read("served", name).collect()}
+
+
+def test_fallback_dataset_that_shrinks_or_empties(spark, tmp_path):
+    store, months = backfill.Store(spark, str(tmp_path / "store")), month_calendar(spark, JAN, MAR)
+
+    def again(clicks, calendar=months):
+        backfill.run_bronze(store, {"clickstream": clicks}, calendar)
+        backfill.run_silver(store, ["clickstream"], calendar)
+        assert not store.log.failures()
+        return served(store), store.days("bronze", "clickstream"), store.days("silver", "clickstream")
+
+    both = {"2023-01-01", "2023-02-01"}
+    full = clicks_of(spark, ("a", "2023-01-01"), ("b", "2023-02-01"))
+    assert again(full) == ({JAN: JAN, FEB: FEB, MAR: FEB}, both, both)
+    # January's rows go: its month takes February, and nothing takes January.
+    assert again(clicks_of(spark, ("b", "2023-02-01")))[1:] == ({"2023-02-01"}, {"2023-02-01"})
+    # One month alone is asked for; the others keep what they take.
+    found = again(full, month_calendar(spark, JAN, JAN))
+    assert found == ({JAN: JAN, FEB: FEB, MAR: FEB}, both, both)
+    # An empty source serves no month any more.
+    assert again(clicks_of(spark).limit(0), month_calendar(spark, FEB, MAR)) == ({JAN: JAN}, {"2023-01-01"}, {"2023-01-01"})
+    assert again(clicks_of(spark).limit(0)) == ({}, set(), set())
+
+
+def test_undated_dataset_moves_with_its_calendar(spark, tmp_path):
+    store = backfill.Store(spark, str(tmp_path / "store"))
+    undated = spark.createDataFrame([("a", "30")], "Customer_ID string, Age string")
+    for start in (FEB, JAN):
+        backfill.run_bronze(store, {"attributes": undated}, month_calendar(spark, start, MAR))
+    assert served(store, "attributes") == {JAN: JAN, FEB: JAN, MAR: JAN}
+    assert store.days("bronze", "attributes") == {"2023-01-01"}
+
+
+def test_loan_labels_follow_their_loans(spark, source, tmp_path):
+    store, months = backfill.Store(spark, str(tmp_path / "store")), month_calendar(spark, JAN, MAR)
+    loans = files.read_csv_strings(spark, f"{source}/{DATASETS['loans'].source_file}")
+    for part, labels in ((loans, 1), (loans.where("installment_num = '0'"), 0)):
+        backfill.run_bronze(store, {"loans": part}, months)
+        backfill.run_silver(store, ["loans"])
+        for mob in (2, 3) if labels else (2,):
+            backfill.run_labels(store, mob=mob, label_type="ever_in_window")
+        assert not store.log.failures()
+    # The definition that was run again is empty; the other one was not asked for.
+    assert {r.label_def for r in store.read("gold", "loan_label_store").collect()} == {"30dpd_within_3mob"}
+
+
+def test_bronze_reads_each_source_once(spark, tmp_path):
+    """Emptied months are found from listings, not from a second scan."""
+    store = backfill.Store(spark, str(tmp_path / "store"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    loans = spark.createDataFrame([("L", "2023-01-01"), ("M", "2023-02-01")], "loan_id string, snapshot_date string")
+    backfill.run_bronze(store, {"loans": loans.mapInArrow(counted, loans.schema)}, month_calendar(spark, JAN, MAR))
+    assert not store.log.failures() and reads.value == 2
 
 
 def test_csv_round_trip(spark, tmp_path):

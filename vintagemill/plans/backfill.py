@@ -12,7 +12,9 @@ Layout below the store root::
 
 A source date is stored and cleaned once however many months it serves; the
 map fans it out when the months are read.  Writes replace whole partitions, so a
-rerun of a month gives the same store.
+rerun of a month gives the same store.  What a run was asked for and finds no rows for any more
+is deleted, as seen from the files before and after its write; a layer without
+any input is an error and deletes nothing.
 """
 
 from __future__ import annotations
@@ -96,15 +98,45 @@ class Store:
     ) -> None:
         write_table(df, self.path(layer, name), partition_by, rebalance)
 
-    def write_served(self, served: DataFrame, dataset: str) -> None:
-        """Store a month map: one small row per month."""
-        self.write(
-            served.select("source_date", "processing_date").coalesce(1),
-            "served",
-            dataset,
-            ["processing_date"],
-            rebalance=False,
-        )
+    def replace(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        column: str,
+        level: tuple[str, str] | None = None,
+        rebalance: bool = True,
+    ) -> set[str]:
+        """Write a table and return the stored values of a partition column that it did not touch.
+
+        A rewritten partition has files of other names.  ``level`` is a partition
+        column above with its one value.
+        """
+        path = self.path(layer, name) if level is None else self.path(layer, f"{name}/{'='.join(level)}")
+        before = partition_files(self.spark, path, column)
+        self.write(df, layer, name, [*([] if level is None else [level[0]]), column], rebalance)
+        after = partition_files(self.spark, path, column)
+        return {value for value, files in before.items() if after.get(value) == files}
+
+    def drop(self, layer: str, name: str, column: str, values: set[str]) -> None:
+        drop_partitions(self.spark, self.path(layer, name), column, sorted(values))
+
+    def days(self, layer: str, name: str, column: str = "source_date") -> set[str]:
+        """The values of a partition column, from a listing of the files."""
+        return set(partition_files(self.spark, self.path(layer, name), column))
+
+    def write_served(self, served: DataFrame, dataset: str, calendar: DataFrame) -> None:
+        """Store a month map, one small row per month; months asked for and left out lose theirs."""
+        rows = served.select("source_date", "processing_date").coalesce(1)
+        left = self.replace(rows, "served", dataset, "processing_date", rebalance=False)
+        self.drop("served", dataset, "processing_date", left & _days(calendar))
+
+    def served_dates(self, dataset: str) -> set[str]:
+        """The source dates that some month takes: at most one per month."""
+        if not self.has("served", dataset):
+            return set()
+        dates = self.read("served", dataset).select("source_date").distinct()
+        return {str(row[0]) for row in dates.collect()}
 
     def served(self, dataset: str, calendar: DataFrame | None = None) -> DataFrame | None:
         """The month map of a dataset, or nothing where months serve themselves."""
@@ -144,6 +176,11 @@ class Store:
         return self.months(layer, dataset, month_calendar(self.spark, month, month))
 
 
+def _days(calendar: DataFrame) -> set[str]:
+    """The months of a calendar as partition values; it has one row per month."""
+    return {str(row[0]) for row in calendar.select("processing_date").collect()}
+
+
 def _in_calendar(df: DataFrame, day: str, calendar: DataFrame | None) -> DataFrame:
     """Rows whose day is a calendar month; a calendar has one row per month."""
     if calendar is None:
@@ -172,10 +209,12 @@ def _bronze(
         source_file, source = source, read_csv_strings(store.spark, source)
     else:
         source_file = spec.source_file
-    if spec.date_column is None or spec.date_column not in source.columns:
+    dated = spec.date_column is not None and spec.date_column in source.columns
+    before = store.served_dates(spec.name)
+    if not dated:
         # Without dates every month takes all rows: one stored copy serves them all.
         day = calendar.agg(F.min("processing_date")).scalar()
-        store.write_served(calendar.withColumn("source_date", day), spec.name)
+        store.write_served(calendar.withColumn("source_date", day), spec.name, calendar)
         rows = source.withColumns(
             {"processed_date": F.date_format(day, "yyyy-MM-dd"), "source_date": day}
         )
@@ -185,28 +224,26 @@ def _bronze(
         rows = source_slices(source, own, spec.date_column)
     else:
         found = dataset_source_map(source, calendar, spec.fallback, spec.date_column)
-        store.write_served(found, spec.name)
+        store.write_served(found, spec.name, calendar)
+        if not store.has("served", spec.name):
+            # No month is served any more, nor was one not asked for.
+            _forget(store, spec.name, store.days("bronze", spec.name) if before else set())
+            return True
         rows = source_slices(source, store.served(spec.name, calendar), spec.date_column)
     lined = with_bronze_lineage(rows, source_file, F.col("source_date"))
-    store.write(lined, "bronze", spec.name, ["source_date"])
-    if spec.fallback == SKIP and spec.date_column in source.columns:
-        _empty_months(store, spec, source, calendar)
+    left = store.replace(lined, "bronze", spec.name, "source_date")
+    if dated and spec.fallback == SKIP:
+        _forget(store, spec.name, left & _days(calendar))
+    elif before:
+        # Dates that a month took before this run and none takes now.
+        _forget(store, spec.name, left - store.served_dates(spec.name))
     return True
 
 
-def _empty_months(store: Store, spec: DatasetSpec, source: DataFrame, calendar: DataFrame) -> None:
-    """Delete the stored months that were asked for and have no rows in the source any more.
-
-    A write replaces only partitions that receive rows.  Stored days are bounded by
-    the calendar, whatever the size of the data; without any, nothing is read.
-    """
-    stored = store.read("bronze", spec.name).select("source_date").distinct()
-    asked = calendar.select(F.col("processing_date").alias("source_date"))
-    there = source.select(snapshot_day(F.col(spec.date_column)).alias("source_date")).distinct()
-    gone = stored.join(asked, "source_date", "left_semi").join(there, "source_date", "left_anti")
-    days = [str(row[0]) for row in gone.collect()]  # at most the months asked for
+def _forget(store: Store, dataset: str, days: set[str]) -> None:
+    """Delete stored source dates; the silver layer has the same."""
     for layer in ("bronze", "silver"):
-        drop_partitions(store.spark, store.path(layer, spec.name), "source_date", days)
+        store.drop(layer, dataset, "source_date", days)
 
 
 def run_silver(
@@ -230,29 +267,22 @@ def _silver(store: Store, dataset: str, calendar: DataFrame | None) -> bool:
             bronze = bronze.join(F.broadcast(dates), "source_date", "left_semi")
     rows = with_silver_metadata(CLEANERS[dataset](bronze), F.col("source_date"))
     # Cleaning is row by row and bronze files hold one date each, so nothing shuffles.
-    store.write(rows, "silver", dataset, ["source_date"], rebalance=False)
+    left = store.replace(rows, "silver", dataset, "source_date", rebalance=False)
+    store.drop("silver", dataset, "source_date", left - store.days("bronze", dataset))
     return True
 
 
 def _rebuild(
-    store: Store, rows: DataFrame | None, name: str, calendar: DataFrame | None, label_def: str | None = None
+    store: Store, rows: DataFrame, name: str, calendar: DataFrame | None, label_def: str | None = None
 ) -> None:
     """Write a gold table and delete the stored months that were asked for and got no rows.
 
-    Without a calendar every stored month was asked for.  Months whose files are
-    the same as before the write got none.  ``label_def`` limits this to one definition.
+    Without a calendar every stored month was asked for.  ``label_def`` limits this to one definition.
     """
-    path = store.path("gold", name)
-    months = path if label_def is None else f"{path}/label_def={label_def}"
-    before = partition_files(store.spark, months, "processing_date")
-    if rows is not None:
-        levels = [] if label_def is None else ["label_def"]
-        store.write(rows, "gold", name, [*levels, "processing_date"])
-    after = partition_files(store.spark, months, "processing_date")
-    gone = {day for day, files in before.items() if after.get(day) == files}
-    if calendar is not None and gone:
-        gone &= {str(row[0]) for row in calendar.select("processing_date").collect()}
-    drop_partitions(store.spark, months, "processing_date", sorted(gone))
+    level = None if label_def is None else ("label_def", label_def)
+    left = store.replace(rows, "gold", name, "processing_date", level)
+    months = name if label_def is None else f"{name}/label_def={label_def}"
+    store.drop("gold", months, "processing_date", left if calendar is None else left & _days(calendar))
 
 
 def run_features(
@@ -264,8 +294,7 @@ def run_features(
 def _features(store: Store, mob: int, calendar: DataFrame | None, options: dict) -> bool:
     inputs = {name: store.snapshots("silver", name, calendar) for name in DATASETS}
     if all(dataset is None for dataset in inputs.values()):
-        _rebuild(store, None, "feature_store", calendar)
-        return False
+        raise ValueError("no silver layer to build features from")
     if inputs["loans"] is not None:
         inputs["loans"] = store.months("silver", "loans", calendar)
     features = feature_store(**inputs, mob=mob, **options)
@@ -293,13 +322,13 @@ def _labels(
     build = {"within_window": label_within_window, "at_mob": label_at_mob}.get(label_type)
     label_def = f"{dpd}dpd_at_{mob}mob" if label_type == "at_mob" else f"{dpd}dpd_within_{mob}mob"
     if not store.has("silver", "loans"):
-        if build is not None:
-            _rebuild(store, None, "label_store", calendar, label_def)
-        return False
+        raise ValueError("no silver loans to build labels from")
     loans = store.months("silver", "loans", calendar)
     if label_type == "ever_in_window":
         labels = label_within_window(loans, dpd, mob, scope="loan")
-        store.write(labels, "gold", "loan_label_store", ["label_def"])
+        # One partition per definition, emptied where no loan has a label any more.
+        left = store.replace(labels, "gold", "loan_label_store", "label_def")
+        store.drop("gold", "loan_label_store", "label_def", left & {label_def})
         return True
     labels = build(loans, dpd, mob).withColumn("processing_date", F.col("snapshot_date"))
     _rebuild(store, labels, "label_store", calendar, label_def)

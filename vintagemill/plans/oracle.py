@@ -904,9 +904,28 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "backfill_rerun": _with(
         LOANS,
+        CUSTOMER_MONTHS,
+        CALENDAR,
         select="""
-        SELECT snapshot_date AS source_date, count(*) AS rows FROM loans
-        WHERE snapshot_date <> DATE '1997-03-01' GROUP BY snapshot_date""",
+        , kept_loans AS (SELECT * FROM loans WHERE snapshot_date <> DATE '1997-03-01'),
+        kept_attributes AS (SELECT * FROM snapshots WHERE snapshot_date < DATE '2000-01-01'),
+        kept_served AS (
+          SELECT processing_date, max(snapshot_date) AS source_date
+          FROM calendar JOIN kept_attributes ON snapshot_date <= processing_date GROUP BY processing_date),
+        layers AS (SELECT unnest(['bronze', 'silver']) AS layer)
+        SELECT layer, 'loans' AS table_name, snapshot_date AS day, snapshot_date AS source_date, count(*) AS rows
+        FROM kept_loans CROSS JOIN layers GROUP BY ALL
+        UNION ALL
+        SELECT layer, 'attributes', snapshot_date, snapshot_date, count(*)
+        FROM kept_attributes CROSS JOIN layers GROUP BY ALL
+        UNION ALL
+        SELECT 'served', 'attributes', processing_date, source_date, 1 FROM kept_served
+        UNION ALL
+        SELECT 'gold', 'label_store', snapshot_date, snapshot_date, count(DISTINCT (loan_id, "Customer_ID"))
+        FROM kept_loans WHERE mob BETWEEN 1 AND 6 GROUP BY snapshot_date
+        UNION ALL
+        SELECT 'gold', 'loan_label_store', NULL, NULL, count(DISTINCT (loan_id, "Customer_ID"))
+        FROM kept_loans WHERE mob BETWEEN 1 AND 6""",
     ),
     "run_report_layers": _with(
         LOANS,

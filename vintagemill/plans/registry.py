@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from ..config import (
     FALLBACK_POLICIES,
     FEATURE_MOB,
     LABEL_MOB,
+    LATEST_AS_OF,
     LATEST_OVERALL,
 )
 from ..functions.parsing import snapshot_day
@@ -29,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed parameters of the single-month and cohort queries.
 ONE_MONTH = dt.date(1997, 3, 1)
 COHORT_CUTOFF = dt.date(1998, 1, 1)
+LAST_RERUN = dt.date(2000, 1, 1)
 LAST_INSTALLMENT = star.LAST_INSTALLMENT
 CLICK_KEYS = ("snapshot_date", "Customer_ID")
 
@@ -613,12 +616,44 @@ def backfill_labels_loan(spark, d):
 
 @query
 def backfill_rerun(spark, d):
-    """A second run whose source lacks one month leaves that month empty in the store."""
-    target = _bronze_store(spark, d, ["loans"])
-    less = star.loans(spark, d).where(F.col("snapshot_date") != F.lit(ONE_MONTH.isoformat()))
-    backfill.run_bronze(target, {"loans": less}, _months(spark, d))
-    per_month = _checked(target).read("bronze", "loans").groupBy("source_date")
-    return per_month.agg(F.count(F.lit(1)).alias("rows"))
+    """All layers after a second run whose loans lack a month and whose attributes end early."""
+    names, months = ["loans", "attributes"], _months(spark, d)
+    target = backfill.Store(spark, files.scratch_folder(spark))
+    specs = DATASETS | {"attributes": replace(DATASETS["attributes"], fallback=LATEST_AS_OF)}
+    loans, attributes = (star.RAW[name](spark, d) for name in names)
+    early = snapshot_day(F.col("snapshot_date")) < F.lit(LAST_RERUN)
+    less = {
+        "loans": loans.where(F.col("snapshot_date") != F.lit(ONE_MONTH.isoformat())),
+        "attributes": attributes.where(early),
+    }
+    for sources in ({"loans": loans, "attributes": attributes}, less):
+        backfill.run_bronze(target, sources, months, specs)
+        backfill.run_silver(target, names)
+        backfill.run_labels(target)
+        backfill.run_labels(target, label_type="ever_in_window")
+    _checked(target)
+
+    def sizes(layer, name, day, source):
+        rows = target.read(layer, name).groupBy(F.col(day).alias("day"), F.col(source).alias("source_date"))
+        return rows.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "day", "source_date", "rows"
+        )
+
+    stored = [sizes(layer, name, "source_date", "source_date") for layer in ("bronze", "silver") for name in names]
+    stored.append(sizes("served", "attributes", "processing_date", "source_date"))
+    stored.append(sizes("gold", "label_store", "processing_date", "processing_date"))
+    loan_labels = target.read("gold", "loan_label_store").agg(F.count(F.lit(1)).alias("rows"))
+    undated = F.lit(None).cast("date")
+    stored.append(
+        loan_labels.select(
+            F.lit("gold").alias("layer"),
+            F.lit("loan_label_store").alias("table_name"),
+            undated.alias("day"),
+            undated.alias("source_date"),
+            "rows",
+        )
+    )
+    return reduce(DataFrame.unionByName, stored)
 
 
 @query
