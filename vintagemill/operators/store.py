@@ -108,7 +108,7 @@ def _inputs(loans, attributes, financials, clickstream) -> list[Snapshots]:
     return [as_snapshots(frame.sparkSession, name, g) for name, g in given.items()]
 
 
-def _spine_with_loan_features(
+def spine_with_loan_features(
     loans: DataFrame, fallbacks: Sequence[Snapshots], mob: int
 ) -> DataFrame:
     """The spine with its loan features, from one pass over the loans.
@@ -165,7 +165,7 @@ def feature_store(
     loan_rows, attributes, financials, clickstream = _inputs(
         loans, attributes, financials, clickstream
     )
-    store = _spine_with_loan_features(
+    store = spine_with_loan_features(
         loan_rows.frame, (attributes, financials, clickstream), mob
     )
     builders = (

@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -17,8 +18,10 @@ from ..config import (
     BACKFILL_START,
     DATASETS,
     DPD_THRESHOLD,
+    FALLBACK_POLICIES,
     FEATURE_MOB,
     LABEL_MOB,
+    DatasetSpec,
     parse_snapshot_date,
 )
 from ..operators.calendar import month_calendar
@@ -38,12 +41,30 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dataset", action="append", choices=tuple(DATASETS))
     p.add_argument("--mob", type=int, default=LABEL_MOB, help="month-on-book of the label")
     p.add_argument("--dpd", type=int, default=DPD_THRESHOLD)
+    p.add_argument(
+        "--fallback",
+        action="append",
+        default=[],
+        metavar="DATASET=POLICY",
+        help=f"what an empty month of a dataset takes: {', '.join(FALLBACK_POLICIES)}",
+    )
     p.add_argument(
         "--label-type", choices=("within_window", "at_mob", "ever_in_window"), default="within_window"
     )
     return p
 
 
+def dataset_specs(fallbacks: Sequence[str]) -> dict[str, DatasetSpec]:
+    """The datasets with the fallback policies named as ``DATASET=POLICY``."""
+    specs = dict(DATASETS)
+    for text in fallbacks:
+        name, _, policy = text.partition("=")
+        if name not in specs or policy not in FALLBACK_POLICIES:
+            raise ValueError(f"{text!r} is not a dataset and one of {', '.join(FALLBACK_POLICIES)}")
+        specs[name] = replace(specs[name], fallback=policy)
+    return specs
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("vintagemill").getOrCreate()
@@ -51,11 +72,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     last = parse_snapshot_date(args.snapshotdate or args.end)
     calendar = month_calendar(spark, first, last)
     datasets = args.dataset or list(DATASETS)
+    specs = dataset_specs(args.fallback)
     store = Store(spark, args.root)
     layers = LAYERS if args.layer == "all" else (args.layer,)
     if "bronze" in layers:
         paths = {name: f"{args.source}/{DATASETS[name].source_file}" for name in datasets}
-        run_bronze(store, paths, calendar)
+        run_bronze(store, paths, calendar, specs)
     if "silver" in layers:
         run_silver(store, datasets, calendar)
     if "features" in layers:

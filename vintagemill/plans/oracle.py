@@ -384,6 +384,35 @@ LEFT JOIN clickstream_features c
 """
 STORE_COLUMNS = 50
 
+# Each customer's latest records up to the month; every month with rows has a spine.
+ASOF_SPINE = """
+spine AS (
+  SELECT DISTINCT snapshot_date AS processing_date, "Customer_ID", snapshot_date
+  FROM loans WHERE mob = 0
+  UNION ALL
+  SELECT DISTINCT snapshot_date, "Customer_ID", snapshot_date FROM attributes
+  WHERE snapshot_date NOT IN (SELECT snapshot_date FROM loans WHERE mob = 0)
+  UNION ALL
+  SELECT DISTINCT snapshot_date, "Customer_ID", snapshot_date FROM clickstream
+  WHERE snapshot_date NOT IN (SELECT snapshot_date FROM loans WHERE mob = 0)
+    AND snapshot_date NOT IN (SELECT snapshot_date FROM attributes WHERE snapshot_date IS NOT NULL)
+)"""
+ASOF_STORE = (LOANS, BOTH, CLICKSTREAM, ASOF_SPINE, LOAN_FEATURES, FINANCIAL_FEATURES, ATTRIBUTE_FEATURES, CLICKSTREAM_FEATURES)
+ASOF_SELECT = """
+SELECT s.*, l.* EXCLUDE (processing_date, "Customer_ID"), f.* EXCLUDE (processing_date, "Customer_ID"),
+       f.processing_date AS financials_as_of, a.* EXCLUDE (processing_date, "Customer_ID"),
+       a.processing_date AS attributes_as_of, c.* EXCLUDE (snapshot_date, "Customer_ID"),
+       c.snapshot_date AS clickstream_as_of
+FROM spine s
+LEFT JOIN loan_features l USING (processing_date, "Customer_ID")
+ASOF LEFT JOIN (SELECT * FROM financial_features WHERE processing_date IS NOT NULL) f
+  ON f."Customer_ID" = s."Customer_ID" AND f.processing_date <= s.processing_date
+ASOF LEFT JOIN (SELECT * FROM attribute_features WHERE processing_date IS NOT NULL) a
+  ON a."Customer_ID" = s."Customer_ID" AND a.processing_date <= s.processing_date
+ASOF LEFT JOIN clickstream_features c
+  ON c."Customer_ID" = s."Customer_ID" AND c.snapshot_date <= s.processing_date
+"""
+
 LABELS_WITHIN = """
 SELECT loan_id, "Customer_ID", snapshot_date,
        CAST(max(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS INTEGER) AS label,
@@ -549,6 +578,38 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "feature_spine": _with(*LOANS_ATTRIBUTES_CLICKS, SPINE, select="SELECT * FROM spine"),
     "feature_store": _with(*STORE, select=STORE_SELECT),
+    "feature_spine_fallback": _with(
+        LOANS,
+        BOTH,
+        CLICKSTREAM,
+        SERVED,
+        select="""
+        , early AS (SELECT DISTINCT snapshot_date AS day, "Customer_ID" FROM loans
+                    WHERE mob = 0 AND snapshot_date < DATE '1997-01-01'),
+        middle AS (SELECT DISTINCT snapshot_date AS day, "Customer_ID" FROM attributes
+                   WHERE snapshot_date < DATE '1998-01-01' AND snapshot_date NOT IN (SELECT day FROM early)),
+        late AS (SELECT DISTINCT snapshot_date AS day, "Customer_ID" FROM financials
+                 WHERE snapshot_date < DATE '2000-01-01' AND snapshot_date NOT IN (SELECT day FROM early)
+                   AND snapshot_date NOT IN (SELECT day FROM middle))
+        SELECT day AS processing_date, "Customer_ID", day AS snapshot_date
+        FROM (SELECT * FROM early UNION ALL SELECT * FROM middle UNION ALL SELECT * FROM late)""",
+    ),
+    "feature_store_asof": _with(*ASOF_STORE, select=ASOF_SELECT),
+    "leakage_asof": _with(
+        *ASOF_STORE,
+        select=f"""
+        , store AS ({ASOF_SELECT}),
+        used AS (
+          SELECT 'financials not ahead' AS check, processing_date, financials_as_of AS day FROM store
+          UNION ALL SELECT 'attributes not ahead', processing_date, attributes_as_of FROM store
+          UNION ALL SELECT 'clickstream not ahead', processing_date, clickstream_as_of FROM store
+          UNION ALL SELECT 'features at mob', snapshot_date, snapshot_date FROM loans WHERE mob = 0
+          UNION ALL SELECT 'labels after application', snapshot_date, snapshot_date
+          FROM loans WHERE mob BETWEEN 1 AND 6)
+        SELECT "check", count(*) AS rows, CAST(count(*) FILTER (day > processing_date) AS BIGINT) AS violations,
+               count(*) FILTER (day > processing_date) = 0 AS passed
+        FROM used WHERE day IS NOT NULL GROUP BY "check" """,
+    ),
     "backfill_features": _with(
         *STORE,
         select=f"""

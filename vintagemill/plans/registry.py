@@ -19,7 +19,7 @@ from ..config import (
     LATEST_OVERALL,
 )
 from ..functions.parsing import snapshot_day
-from ..operators import bronze, calendar, checks, features, labels, profiling, silver, store, vintage
+from ..operators import asof, bronze, calendar, checks, features, labels, profiling, silver, store, vintage
 from ..operators.quantiles import in_long_form
 from ..operators.store import Snapshots
 from ..schemas import LOANS_TYPED
@@ -240,6 +240,26 @@ def feature_store(spark, d):
     return store.feature_store(**_inputs(spark, d))
 
 
+@query
+def feature_spine_fallback(spark, d):
+    """Months after the loans end take the customers of attributes, then those of financials."""
+    inputs = _inputs(spark, d)
+    until = {"loans": dt.date(1997, 1, 1), "attributes": COHORT_CUTOFF, "financials": LAST_RERUN}
+    cut = {name: inputs[name].where(F.col("processing_date") < day) for name, day in until.items()}
+    return store.feature_spine(**cut)
+
+
+def _asof_store(spark, d):
+    datasets = {name: _clean(name, spark, d) for name in ("financials", "attributes", "clickstream")}
+    return asof.feature_store_asof(_monthly("loans", spark, d), **datasets)
+
+
+@query
+def feature_store_asof(spark, d):
+    """Every customer's latest record up to the month; the clickstream's month comes long after the others."""
+    return _asof_store(spark, d)
+
+
 # --- profiling
 
 
@@ -507,6 +527,15 @@ def leakage_check(spark, d):
     )
 
 
+@query
+def leakage_asof(spark, d):
+    """The leakage check over the rows that the point-in-time store emits."""
+    loans, joined = _monthly("loans", spark, d), _asof_store(spark, d)
+    used = {name: asof.records_used(joined, name) for name in ("financials", "attributes", "clickstream")}
+    in_window = loans.where(F.col("mob").between(1, LABEL_MOB))
+    return checks.leakage_check(features.mob_filter(loans), in_window, used)
+
+
 @query
 def leakage_planted(spark, d):
     """The same check over loans of every age, and over sources that serve the month before."""
