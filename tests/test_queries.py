@@ -81,6 +81,8 @@ FILE_QUERIES = {
     "backfill_rerun",
     "partition_inventory",
     "run_report_layers",
+    "stream_backfill",
+    "changed_months",
 }
 
 

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from ..config import DATASETS, DPD_THRESHOLD, FEATURE_MOB, LABEL_MOB, SKIP, DatasetSpec
 from ..functions.parsing import snapshot_day
 from ..operators.bronze import dataset_source_map, source_slices, with_bronze_lineage
-from ..operators.calendar import month_calendar
+from ..operators.calendar import month_calendar, source_map
+from ..operators.changes import changed_days, day_fingerprints, months_to_rebuild
 from ..operators.checks import source_usage
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
@@ -379,6 +380,60 @@ def month_counts(store: Store, layer: str, dataset: str) -> DataFrame:
     )
 
 
+def store_fingerprints(
+    store: Store, sources: dict[str, DataFrame], specs: dict[str, DatasetSpec] = DATASETS
+) -> None:
+    """Keep the fingerprints of the sources' days, after a bronze run over all of them."""
+    for name, source in sources.items():
+        marks = day_fingerprints(source, snapshot_day(F.col(specs[name].date_column)))
+        path = store.path("fingerprints", name)
+        left = store.replace(marks.coalesce(1), "fingerprints", name, "source_date", rebalance=False)
+        drop_partitions(store.spark, path, "source_date", sorted(left))
+
+
+def changed_months(
+    store: Store, sources: dict[str, DataFrame], calendar: DataFrame, specs: dict[str, DatasetSpec] = DATASETS
+) -> dict[str, DataFrame]:
+    """The months of each dated source that differ from what the store was filled from.
+
+    Days are compared by fingerprint, one pass per source; the walk to months goes through the
+    stored month map and the one that the source would get now, so a month that takes a
+    changed date, or another date than before, is named.
+    """
+    found = {}
+    for name, source in sources.items():
+        spec = specs[name]
+        day = snapshot_day(F.col(spec.date_column))
+        new = day_fingerprints(source, day)
+        old = store.read("fingerprints", name) if store.has("fingerprints", name) else new.limit(0)
+        was = store.served(name, calendar)
+        if was is None:
+            dates = old.select("source_date")
+            was = source_map(calendar, dates, SKIP)
+        now = source_map(calendar, new.select("source_date"), spec.fallback)
+        found[name] = months_to_rebuild(changed_days(old, new), was, now)
+    return found
+
+
+def refresh(
+    store: Store, sources: dict[str, DataFrame], calendar: DataFrame, specs: dict[str, DatasetSpec] = DATASETS
+) -> list[dt.date]:
+    """Run bronze and silver again for the months that changed, keep the new fingerprints, name the gold months.
+
+    A failed job leaves the old fingerprints, so the next call names its months again.
+    """
+    changed = changed_months(store, sources, calendar, specs)
+    days = {name: [row[0] for row in df.select("processing_date").collect()] for name, df in changed.items()}
+    for name, months in days.items():
+        if months:
+            asked = store.spark.createDataFrame([(month,) for month in months], "processing_date date")
+            run_bronze(store, {name: sources[name]}, asked, specs)
+            run_silver(store, [name], asked)
+    if not store.log.failures():
+        store_fingerprints(store, {name: sources[name] for name, months in days.items() if months}, specs)
+    return sorted({month for months in days.values() for month in months})
+
+
 def source_report(
     sources: dict[str, DataFrame], calendar: DataFrame, specs: dict[str, DatasetSpec] = DATASETS
 ) -> DataFrame:

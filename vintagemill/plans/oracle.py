@@ -1051,6 +1051,32 @@ ORACLE_SQL: dict[str, str] = {
         LOANS,
         select="SELECT loan_id, snapshot_date, strftime(snapshot_date, '%b %Y') AS data_month FROM loans",
     ),
+    "stream_backfill": _with(
+        LOANS_TEXT,
+        select="""
+        SELECT *, snapshot_date AS normalized_snapshot_date,
+               'lms_loan_daily.csv' AS bronze_source_file, snapshot_date AS bronze_processing_date,
+               CAST(snapshot_date AS DATE) AS processing_date, CAST(snapshot_date AS DATE) AS source_date
+        FROM loans_text""",
+    ),
+    "changed_months": _with(
+        LOANS,
+        select="""
+        , starts AS (SELECT * FROM loans WHERE mob = 0),
+        touched AS (
+          SELECT snapshot_date AS month, 'loans' AS dataset FROM starts
+          WHERE loan_id = (SELECT min(loan_id) FROM loans) AND balance <> 1
+          UNION ALL
+          SELECT snapshot_date, 'loans' FROM starts WHERE loan_id = (SELECT max(loan_id) FROM loans)
+          UNION ALL
+          SELECT CAST(snapshot_date + INTERVAL 1 MONTH AS DATE), 'loans' FROM starts
+          WHERE loan_id = (SELECT max(loan_id) FROM loans)
+          UNION ALL
+          SELECT DATE '1997-03-01', 'attributes'
+          FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1997-03-01')
+        SELECT month AS processing_date, string_agg(DISTINCT dataset, ',' ORDER BY dataset) AS datasets
+        FROM touched GROUP BY month""",
+    ),
     "backfill_bronze": _with(
         LOANS_TEXT,
         select="""

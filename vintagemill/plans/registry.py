@@ -19,12 +19,12 @@ from ..config import (
     LATEST_OVERALL,
 )
 from ..functions.parsing import snapshot_day
-from ..operators import asof, bronze, calendar, checks, features, labels, profiling, silver, store, vintage
+from ..operators import asof, bronze, calendar, changes, checks, features, labels, profiling, silver, store, vintage
 from ..operators.quantiles import in_long_form
 from ..operators.store import Snapshots
 from ..schemas import LOANS_TYPED
 from ..sources import files, star
-from . import backfill
+from . import arrival, backfill
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -685,6 +685,46 @@ def backfill_rerun(spark, d):
     return reduce(DataFrame.unionByName, stored)
 
 
+@query
+def stream_backfill(spark, d):
+    """The bronze loans by way of a stream of files, which runs twice."""
+    target, landing = backfill.Store(spark, files.scratch_folder(spark)), files.scratch_folder(spark)
+    raw = star.loans(spark, d)
+    files.write_csv(raw, landing)
+    for _ in range(2):
+        arrival.stream_bronze(
+            target, "loans", landing, raw.columns, _months(spark, d), f"{target.root}/checkpoint", files_per_batch=3
+        )
+    return target.months("bronze", "loans").drop("bronze_ingestion_timestamp", arrival.ARRIVAL)
+
+
+@query
+def changed_months(spark, d):
+    """Gold months to rebuild after a loan was altered, one moved, and a month of attributes went."""
+    months = _months(spark, d)
+    target = backfill.Store(spark, files.scratch_folder(spark))
+    specs = DATASETS | {"attributes": replace(DATASETS["attributes"], fallback=LATEST_AS_OF)}
+    sources = {name: star.RAW[name](spark, d) for name in ("loans", "attributes")}
+    backfill.run_bronze(target, sources, months, specs)
+    _checked(target)
+    backfill.store_fingerprints(target, sources, specs)
+    first, last = (
+        sources["loans"].agg(f("loan_id").alias("loan_id")).scalar() for f in (F.min, F.max)
+    )
+    month, start = F.col("snapshot_date"), F.col("installment_num") == "0"
+    loans = sources["loans"].withColumns(
+        {
+            "balance": F.when((F.col("loan_id") == first) & start, "1").otherwise(F.col("balance")),
+            "snapshot_date": F.when(
+                (F.col("loan_id") == last) & start, F.date_format(F.add_months(month, 1), "yyyy-MM-dd")
+            ).otherwise(month),
+        }
+    )
+    gone = snapshot_day(F.col("snapshot_date")).eqNullSafe(F.lit(ONE_MONTH))
+    changed = {"loans": loans, "attributes": sources["attributes"].where(~gone)}
+    return changes.by_month(backfill.changed_months(target, changed, months, specs))
+
+
 @query
 def run_report_layers(spark, d):
     """Reports of all layers after bronze ran twice and the other layers once."""

@@ -68,10 +68,12 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
-    """Delete exactly the named partitions of a table, below whatever levels lie above them."""
+def drop_partitions(
+    spark: SparkSession, path: str, column: str, values: Sequence[str], literal: bool = True
+) -> None:
+    """Delete exactly the named partitions of a table; a path that is not literal may be a pattern."""
     file_system, root = _file_system(spark, path)
-    if not values or not file_system.exists(root):
+    if not values or (literal and not file_system.exists(root)):
         return
     for value in values:
         found = file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"))
@@ -79,11 +81,16 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
             file_system.delete(status.getPath(), True)
 
 
-def partition_files(spark: SparkSession, path: str, column: str) -> dict[str, set[str]]:
-    """The file names of each partition of a table, by its value; a rewritten partition has new names."""
+def partition_files(
+    spark: SparkSession, path: str, column: str, literal: bool = True
+) -> dict[str, set[str]]:
+    """The file names of each partition of a table, by its value; a rewritten partition has new names.
+
+    A path that is not literal may be a pattern.
+    """
     file_system, root = _file_system(spark, path)
     files: dict[str, set[str]] = {}
-    if file_system.exists(root):
+    if not literal or file_system.exists(root):
         pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*/*")
         for status in file_system.globStatus(pattern) or ():
             value = status.getPath().getParent().getName().split("=", 1)[1]
