@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vintagemill.llm import mixing, pii, queries
@@ -104,6 +105,39 @@ def test_mix_rows(spark, edge, clashing, nothing):
     assert [(r.target, r.taken) for r in mixing.digest(empty).collect()] == [(0.0, 0)] * 3
 
 
+@pytest.mark.parametrize(("ids", "words", "texts"), [(1, 10, 1), (None, 10, 1), (1, 10, 7), (None, 3, 300)])
+def test_rows_of_one_id(spark, ids, words, texts):
+    """Rows equal in id and size are taken one by one, up to the target."""
+    rows = [(ids, " ".join(f"w{i % texts}x{k}" for k in range(words)), "en", "a", 0) for i in range(300)]
+    rows += [(i + 2, "v " * words, "en", "b", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    planned = mixing.digest(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    for row in planned:
+        assert abs(row.taken - row.target) <= words / 2
+    runs = [
+        sorted((r.text, r.source, r.epoch, r.position) for r in mixing.mix(docs.repartition(n)).collect()) for n in (3, 4)
+    ]
+    assert runs[0] == runs[1]
+    assert len(runs[0]) == sum(r.taken for r in planned) / words
+
+
+def test_rows_of_one_id_against_sql(spark, sf_small):
+    """The SQL twin over a table in which ids repeat or are missing."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, 7).when(F.col("doc_id") % 3 == 1, F.col("doc_id")))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == 7, F.substring("text", 1, 40)).otherwise(F.col("text")))
+    con = duckdb.connect()
+    given = docs.toPandas()  # noqa: F841 - the table that the SQL reads
+    con.sql("CREATE TABLE documents AS SELECT * REPLACE (CAST(doc_id AS BIGINT) AS doc_id) FROM given")
+    expected = con.sql(mixing.OP7_SQL)
+    columns = sorted(expected.columns)
+    index = [expected.columns.index(c) for c in columns]
+    found = mixing.digest(docs)
+    assert sorted(tuple(str(r[c]) for c in columns) for r in found.collect()) == sorted(
+        tuple(str(row[i]) for i in index) for row in expected.fetchall()
+    )
+
+
 def test_bad_schedules():
     for knots in (((0.0, 1.0), (0.5, 1.0)), ((0.0, 0.0), (1.0, 0.0)), ((0.0, -1.0), (1.0, 5.0))):
         with pytest.raises(ValueError, match="schedule"):
