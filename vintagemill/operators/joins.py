@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import scratch_folder
+
 
 def split_left_joins(
     left: DataFrame,
@@ -18,25 +20,21 @@ def split_left_joins(
     """``left`` LEFT JOIN each of ``rights`` on the same keys; hot keys spread over several tasks.
 
     Spark cannot split the right side of a left join at run time.  Keys with more
-    than ``rows_per_split`` rows on a right side are found in one aggregation over
-    all sides; there are at most ``rows / rows_per_split`` of them, which bounds
-    their broadcast.  All other keys go through a plain chain of joins, for which
-    the left side and each right side shuffle once.  Rows of hot keys take a
-    salted path of their own, which costs nothing where there are none.  ``None``
-    gives the plain chain alone, for right sides known to be unique.
+    than ``rows_per_split`` rows on a right side are found up front in one aggregation over the
+    keys of all sides and kept as a small table; there are at most ``rows / rows_per_split``
+    of them, which bounds their broadcast.  Without any, the joins are a plain chain, for which
+    the left side and each right side shuffle once.  With some, rows of hot keys take a salted path
+    of their own and all others the plain chain.  ``None`` looks for no hot
+    keys, for right sides known to be unique.
     """
     keys = list(keys)
-    if not rights:
-        return left
-    if rows_per_split is None:
+    hot = hot_keys(rights, keys, rows_per_split) if rights and rows_per_split is not None else None
+    if hot is None:
         return reduce(lambda df, right: df.join(right, keys, "left"), rights, left)
-    sides = [right.select(F.lit(i).alias("_side"), *keys) for i, right in enumerate(rights)]
-    counted = reduce(DataFrame.unionAll, sides).groupBy("_side", *keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counted.where(F.col("_rows") > rows_per_split)
-    hot_keys = F.broadcast(hot.select(*keys).distinct())
+    few = F.broadcast(hot.select(*keys).distinct())
 
     def part(df: DataFrame, how: str) -> DataFrame:
-        return df.join(hot_keys, keys, how)
+        return df.join(few, keys, how)
 
     cold = reduce(
         lambda df, right: df.join(part(right, "left_anti"), keys, "left"), rights, part(left, "left_anti")
@@ -50,6 +48,21 @@ def split_left_joins(
     return cold.unionByName(spread)
 
 
+def hot_keys(rights: Sequence[DataFrame], keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
+    """Keys with more than ``rows_per_split`` rows on a side (``_side``, ``_rows``), or nothing.
+
+    Only the keys are read, and they are combined before they shuffle.
+    """
+    sides = [right.select(F.lit(i).alias("_side"), *keys) for i, right in enumerate(rights)]
+    counted = reduce(DataFrame.unionAll, sides).groupBy("_side", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    spark = rights[0].sparkSession
+    path = f"{scratch_folder(spark)}/hot_keys"
+    known = counted.where(F.col("_rows") > rows_per_split).dropna(subset=list(keys))
+    known.write.parquet(path)
+    hot = spark.read.schema(known.schema).parquet(path)
+    return None if hot.isEmpty() else hot
+
+
 def split_left_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_split: int | None = 1_000_000
 ) -> DataFrame:

@@ -62,16 +62,24 @@ def as_snapshots(spark: SparkSession, dataset: str, given: DataFrame | Snapshots
 def _fallback_rows(
     loans: DataFrame, fallbacks: Sequence[Snapshots], mob: int
 ) -> list[DataFrame]:
-    """Spine rows of months without loans at ``mob``, from the first dataset that has any."""
-    ranked = mob_filter(loans, mob).select("processing_date", F.lit(0).alias("rank"))
+    """Spine rows of months without loans at ``mob``, from the first dataset that has any.
+
+    The months are settled up front, a row per month, so the plan of the spine reads
+    only the datasets that serve some month, and none of them twice.
+    """
+    ranked = mob_filter(loans, mob).select("processing_date", F.lit(0).alias("rank")).distinct()
     for rank, dataset in enumerate(fallbacks, start=1):
         ranked = ranked.union(dataset.months().withColumn("rank", F.lit(rank)))
-    first = ranked.groupBy("processing_date").agg(F.min("rank").alias("rank"))
+    first = ranked.where("processing_date is not null").groupBy("processing_date").agg(F.min("rank").alias("rank"))
+    served: dict[int, list] = {}
+    for month, rank in first.collect():
+        served.setdefault(rank, []).append((month,))
     return [
-        dataset.in_months(first.where(F.col("rank") == rank).select("processing_date"))
+        dataset.in_months(loans.sparkSession.createDataFrame(sorted(served[rank]), "processing_date date"))
         .select(*SPINE)
         .distinct()
         for rank, dataset in enumerate(fallbacks, start=1)
+        if rank in served
     ]
 
 

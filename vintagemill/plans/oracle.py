@@ -578,6 +578,17 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "feature_spine": _with(*LOANS_ATTRIBUTES_CLICKS, SPINE, select="SELECT * FROM spine"),
     "feature_store": _with(*STORE, select=STORE_SELECT),
+    "feature_store_hot": _with(
+        *STORE[:-2],
+        ATTRIBUTE_FEATURES.replace("attribute_features AS", "once AS") + """,
+attribute_features AS (
+  SELECT * FROM once
+  UNION ALL SELECT * FROM once WHERE "Customer_ID" LIKE '%1'
+  UNION ALL SELECT * FROM once WHERE "Customer_ID" LIKE '%11'
+)""",
+        CLICKSTREAM_FEATURES,
+        select=STORE_SELECT,
+    ),
     "feature_spine_fallback": _with(
         LOANS,
         BOTH,

@@ -240,6 +240,17 @@ def feature_store(spark, d):
     return store.feature_store(**_inputs(spark, d))
 
 
+@query
+def feature_store_hot(spark, d):
+    """The store where customers report attributes several times a month and every key above one row is split."""
+    inputs = _inputs(spark, d)
+    attributes = inputs["attributes"]
+    twice = attributes.where(F.col("Customer_ID").endswith("1"))
+    thrice = attributes.where(F.col("Customer_ID").endswith("11"))
+    inputs["attributes"] = attributes.unionByName(twice).unionByName(thrice)
+    return store.feature_store(**inputs, rows_per_split=1)
+
+
 @query
 def feature_spine_fallback(spark, d):
     """Months after the loans end take the customers of attributes, then those of financials."""
