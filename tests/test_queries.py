@@ -83,6 +83,9 @@ FILE_QUERIES = {
     "run_report_layers",
     "stream_backfill",
     "changed_months",
+    "quarantine_rows",
+    "quarantine_good",
+    "quarantine_counts",
 }
 
 

@@ -453,6 +453,34 @@ SELECT metric, bucket, lo + (hi - lo) * (bucket - 1) / bins AS low,
        lo + (hi - lo) * bucket / bins AS high, coalesce(rows, 0) AS rows
 FROM buckets LEFT JOIN hits USING (metric, bucket)"""
 
+# Loans as text with a planted fault by the sum of loan number and installment, modulo 60.
+FAULTS = LOANS_TEXT + """,
+keyed AS (
+  SELECT *, (CAST(loan_id[2:] AS BIGINT) + CAST(installment_num AS BIGINT)) % 60 AS fault FROM loans_text
+),
+faults AS (
+  SELECT * REPLACE (
+    CASE fault WHEN 1 THEN 'ten' ELSE tenure END AS tenure,
+    CASE fault WHEN 2 THEN '"12,5"' ELSE paid_amt END AS paid_amt,
+    CASE fault WHEN 3 THEN '1997-13-01' ELSE snapshot_date END AS snapshot_date)
+  FROM keyed WHERE fault BETWEEN 1 AND 6
+),
+lines AS (
+  SELECT fault, loan_id,
+         concat_ws(',', loan_id, "Customer_ID", loan_start_date, tenure, installment_num, loan_amt,
+                   due_amt, paid_amt, overdue_amt, balance, snapshot_date) AS line
+  FROM faults
+),
+problems AS (
+  SELECT CASE fault WHEN 4 THEN NULL WHEN 5 THEN line || ',x' WHEN 6 THEN loan_id || ',x' ELSE line END AS raw,
+         CASE fault WHEN 1 THEN 'tenure' WHEN 2 THEN 'paid_amt' WHEN 3 THEN 'snapshot_date'
+                    WHEN 4 THEN 'Customer_ID' END AS column_name,
+         CASE fault WHEN 1 THEN 'ten' WHEN 2 THEN '12,5' WHEN 3 THEN '1997-13-01' END AS value,
+         CASE fault WHEN 1 THEN 'not a int' WHEN 2 THEN 'not a float' WHEN 3 THEN 'not a date'
+                    WHEN 4 THEN 'required and empty' ELSE 'number of values' END AS reason
+  FROM lines
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     # --- loans and labels
     "silver_loans": _with(LOANS, select="SELECT * FROM loans"),
@@ -1062,6 +1090,15 @@ attribute_features AS (
         LOANS,
         select="SELECT loan_id, snapshot_date, strftime(snapshot_date, '%b %Y') AS data_month FROM loans",
     ),
+    "quarantine_rows": _with(FAULTS, select="SELECT * FROM problems"),
+    "quarantine_good": _with(
+        LOANS,
+        select=TYPED_LOANS
+        + " FROM loans WHERE (CAST(loan_id[2:] AS BIGINT) + installment_num) % 60 NOT BETWEEN 1 AND 6",
+    ),
+    "quarantine_counts": _with(
+        FAULTS, select="SELECT column_name, reason, count(*) AS problems FROM problems GROUP BY ALL"
+    ),
     "stream_backfill": _with(
         LOANS_TEXT,
         select="""

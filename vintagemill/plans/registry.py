@@ -23,7 +23,7 @@ from ..operators import asof, bronze, calendar, changes, checks, features, label
 from ..operators.quantiles import in_long_form
 from ..operators.store import Snapshots
 from ..schemas import LOANS_TYPED
-from ..sources import files, star
+from ..sources import files, quarantine, star
 from . import arrival, backfill
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -584,6 +584,51 @@ def src_csv_typed(spark, d):
     return files.read_csv_typed(spark, path, LOANS_TYPED)
 
 
+def _checked_loans(spark, d):
+    """Loans as CSV lines, some of them broken by rule, read with the quarantine into a new table."""
+    raw = star.loans(spark, d)
+    key = F.substring("loan_id", 2, 20).cast("long") + F.col("installment_num").cast("long")
+
+    def broken(column, rest, text):
+        return F.when(F.pmod(key, F.lit(60)) == rest, text).otherwise(F.col(column)).alias(column)
+
+    planted = {
+        "tenure": broken("tenure", 1, F.lit("ten")),
+        "paid_amt": broken("paid_amt", 2, F.lit("12,5")),
+        "snapshot_date": broken("snapshot_date", 3, F.lit("1997-13-01")),
+        "Customer_ID": broken("Customer_ID", 4, F.lit(None).cast("string")),
+    }
+    columns = LOANS_TYPED.fieldNames()
+    line = F.to_csv(F.struct(*[planted.get(c, F.col(c)) for c in columns]))
+    line = F.when(F.pmod(key, F.lit(60)) == 5, F.concat(line, F.lit(",x"))).otherwise(line)
+    line = F.when(F.pmod(key, F.lit(60)) == 6, F.concat("loan_id", F.lit(",x"))).otherwise(line)
+    landing, path = files.scratch_folder(spark), f"{files.scratch_folder(spark)}/loans"
+    raw.select(line.alias("value")).write.text(landing)
+    checked = quarantine.checked_csv(spark, landing, LOANS_TYPED, required=["Customer_ID"], header=False)
+    quarantine.write_checked(checked, path)
+    return path
+
+
+@query
+def quarantine_rows(spark, d):
+    """Every problem of the rows that cannot be read, with the raw line."""
+    path = _checked_loans(spark, d)
+    return quarantine.problem_rows(quarantine.quarantined(spark, path, LOANS_TYPED))
+
+
+@query
+def quarantine_good(spark, d):
+    """The rows beside the quarantine, typed."""
+    return quarantine.good_rows(spark, _checked_loans(spark, d), LOANS_TYPED)
+
+
+@query
+def quarantine_counts(spark, d):
+    """Problems by column and reason."""
+    path = _checked_loans(spark, d)
+    return quarantine.problem_counts(quarantine.quarantined(spark, path, LOANS_TYPED))
+
+
 def _loans_table(spark, d):
     path = f"{files.scratch_folder(spark)}/silver_loans"
     files.write_table(_monthly("loans", spark, d), path, ["processing_date"])
