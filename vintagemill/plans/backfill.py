@@ -9,6 +9,7 @@ Layout below the store root::
     gold/feature_store       partitioned by processing_date
     gold/label_store         partitioned by label_def, processing_date
     gold/loan_label_store    partitioned by label_def: labels over all months of a loan
+    counts/<layer>/...       rows of each partition, taken by the write that made it
 
 A source date is stored and cleaned once however many months it serves; the
 map fans it out when the months are read.  Writes replace whole partitions, so a
@@ -32,10 +33,10 @@ from ..functions.parsing import snapshot_day
 from ..operators.bronze import dataset_source_map, source_slices, with_bronze_lineage
 from ..operators.calendar import month_calendar, source_map
 from ..operators.changes import changed_days, day_fingerprints, months_to_rebuild
-from ..operators.checks import source_usage
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
 from ..operators.store import Snapshots, feature_store, with_gold_metadata
+from ..sources import metrics
 from ..sources.files import (
     drop_partitions,
     partition_files,
@@ -107,18 +108,35 @@ class Store:
         column: str,
         level: tuple[str, str] | None = None,
         rebalance: bool = True,
+        expected: set[str] | None = None,
     ) -> set[str]:
         """Write a table and return the stored values of a partition column that it did not touch.
 
         A rewritten partition has files of other names.  ``level`` is a partition
-        column above with its one value.
+        column above with its one value.  With the ``expected`` partitions the write counts
+        their rows for the report.
         """
-        path = self.path(layer, name) if level is None else self.path(layer, f"{name}/{'='.join(level)}")
+        inside = name if level is None else f"{name}/{'='.join(level)}"
+        path = self.path(layer, inside)
         before = partition_files(self.spark, path, column)
-        self.write(df, layer, name, [*([] if level is None else [level[0]]), column], rebalance)
+        written = None if expected is None else metrics.WrittenRows(column, expected)
+        write_table(
+            df,
+            self.path(layer, name),
+            [*([] if level is None else [level[0]]), column],
+            rebalance,
+            written and written.attach,
+        )
         after = partition_files(self.spark, path, column)
+        if written is not None:
+            metrics.store_counts(self.spark, self.path("counts", f"{layer}/{inside}"), written.rows(), after)
         return {value for value, files in before.items() if after.get(value) == files}
 
+    def rows(self, layer: str, inside: str, column: str = "source_date") -> DataFrame:
+        """Rows of each partition, as the writes counted them, else read off the partition."""
+        counts = self.path("counts", f"{layer}/{inside}")
+        return metrics.partition_rows(self.spark, self.path(layer, inside), counts, column)
+
     def drop(self, layer: str, name: str, column: str, values: set[str]) -> None:
         drop_partitions(self.spark, self.path(layer, name), column, sorted(values))
 
@@ -221,8 +239,8 @@ def _bronze(
         )
     elif spec.fallback == SKIP:
         # A month serves itself, so the calendar picks the rows without a look at the dates.
-        own = calendar.withColumn("source_date", F.col("processing_date"))
-        rows = source_slices(source, own, spec.date_column)
+        themselves = calendar.withColumn("source_date", F.col("processing_date"))
+        rows = source_slices(source, themselves, spec.date_column)
     else:
         found = dataset_source_map(source, calendar, spec.fallback, spec.date_column)
         store.write_served(found, spec.name, calendar)
@@ -232,12 +250,14 @@ def _bronze(
             return True
         rows = source_slices(source, store.served(spec.name, calendar), spec.date_column)
     lined = with_bronze_lineage(rows, source_file, F.col("source_date"))
-    left = store.replace(lined, "bronze", spec.name, "source_date")
-    if dated and spec.fallback == SKIP:
-        _forget(store, spec.name, left & _days(calendar))
+    own = dated and spec.fallback == SKIP
+    dates = _days(calendar) if own else store.served_dates(spec.name)
+    left = store.replace(lined, "bronze", spec.name, "source_date", expected=dates)
+    if own:
+        _forget(store, spec.name, left & dates)
     elif before:
         # Dates that a month took before this run and none takes now.
-        _forget(store, spec.name, left - store.served_dates(spec.name))
+        _forget(store, spec.name, left - dates)
     return True
 
 
@@ -268,22 +288,38 @@ def _silver(store: Store, dataset: str, calendar: DataFrame | None) -> bool:
             bronze = bronze.join(F.broadcast(dates), "source_date", "left_semi")
     rows = with_silver_metadata(CLEANERS[dataset](bronze), F.col("source_date"))
     # Cleaning is row by row and bronze files hold one date each, so nothing shuffles.
-    left = store.replace(rows, "silver", dataset, "source_date", rebalance=False)
-    store.drop("silver", dataset, "source_date", left - store.days("bronze", dataset))
+    dates = store.days("bronze", dataset)
+    left = store.replace(rows, "silver", dataset, "source_date", rebalance=False, expected=dates)
+    store.drop("silver", dataset, "source_date", left - dates)
     return True
 
 
 def _rebuild(
-    store: Store, rows: DataFrame, name: str, calendar: DataFrame | None, label_def: str | None = None
+    store: Store,
+    rows: DataFrame,
+    name: str,
+    calendar: DataFrame | None,
+    datasets: Sequence[str],
+    label_def: str | None = None,
 ) -> None:
     """Write a gold table and delete the stored months that were asked for and got no rows.
 
     Without a calendar every stored month was asked for.  ``label_def`` limits this to one definition.
+    The rows are of months that some of the silver datasets serve.
     """
     level = None if label_def is None else ("label_def", label_def)
-    left = store.replace(rows, "gold", name, "processing_date", level)
+    asked = None if calendar is None else _days(calendar)
+    served = set().union(*(_served_months(store, dataset) for dataset in datasets)) if asked is None else asked
+    left = store.replace(rows, "gold", name, "processing_date", level, expected=served)
     months = name if label_def is None else f"{name}/label_def={label_def}"
-    store.drop("gold", months, "processing_date", left if calendar is None else left & _days(calendar))
+    store.drop("gold", months, "processing_date", left if asked is None else left & asked)
+
+
+def _served_months(store: Store, dataset: str) -> set[str]:
+    """The months that a dataset has silver rows for, from listings."""
+    if store.has("served", dataset):
+        return store.days("served", dataset, "processing_date")
+    return store.days("silver", dataset)
 
 
 def run_features(
@@ -300,7 +336,7 @@ def _features(store: Store, mob: int, calendar: DataFrame | None, options: dict)
         inputs["loans"] = store.months("silver", "loans", calendar)
     features = feature_store(**inputs, mob=mob, **options)
     rows = with_gold_metadata(features, F.col("processing_date"), mob)
-    _rebuild(store, rows, "feature_store", calendar)
+    _rebuild(store, rows, "feature_store", calendar, list(DATASETS))
     return True
 
 
@@ -332,7 +368,7 @@ def _labels(
         store.drop("gold", "loan_label_store", "label_def", left & {label_def})
         return True
     labels = build(loans, dpd, mob).withColumn("processing_date", F.col("snapshot_date"))
-    _rebuild(store, labels, "label_store", calendar, label_def)
+    _rebuild(store, labels, "label_store", calendar, ["loans"], label_def)
     return True
 
 
@@ -369,12 +405,19 @@ def _outcome(entry: Sequence[str | None]) -> Column:
 def month_counts(store: Store, layer: str, dataset: str) -> DataFrame:
     """Rows that each served month takes, counted per stored date before the fan-out.
 
-    Gold tables are stored by month and have no date of their own.
+    The counts are those that the writes took.  Gold tables are stored by month and have no
+    date of their own; labels are added up over their definitions.
     """
     if layer == "gold":
-        used = store.read(layer, dataset).groupBy("processing_date").agg(F.count(F.lit(1)).alias("rows"))
+        definitions = sorted(store.days("gold", dataset, "label_def"))
+        inside = [f"{dataset}/label_def={value}" for value in definitions] or [dataset]
+        used = reduce(DataFrame.unionByName, [store.rows("gold", name, "processing_date") for name in inside])
     else:
-        used = source_usage(store.snapshots(layer, dataset))
+        used, served = store.rows(layer, dataset), store.served(dataset)
+        if served is None:
+            used = used.withColumn("processing_date", F.col("source_date"))
+        else:
+            used = served.join(F.broadcast(used), "source_date")
     return used.groupBy(F.lit(dataset).alias("dataset"), "processing_date").agg(
         F.sum("rows").alias("rows")
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,16 +41,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    rebalance: bool = True,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write a layer table, replacing only the partitions that the rows belong to.
 
     Rebalancing by the partition columns lets adaptive execution merge small
     months into few files and split a month that holds much of the data.  Rows
-    that come from files of the same partitions need no such shuffle.
+    that come from files of the same partitions need no such shuffle.  ``observe``
+    gets the frame as it is written.
     """
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if observe is not None:
+        df = observe(df)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
