@@ -76,6 +76,7 @@ def plan(df):
 FILE_QUERIES = {
     "backfill_bronze",
     "backfill_features",
+    "backfill_features_bucketed",
     "backfill_labels",
     "backfill_labels_loan",
     "backfill_rerun",

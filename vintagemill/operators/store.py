@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,15 @@ class Snapshots:
         months = self.frame if self.served is None else self.served
         return months.select("processing_date").distinct()
 
+    def only(self, months: Sequence) -> Snapshots:
+        """The rows that serve some of the given months, picked by partition; the months are few."""
+        wanted = F.col("processing_date").isin(*months) if months else F.lit(False)
+        if self.served is None:
+            return Snapshots(self.frame.where(wanted))
+        served = self.served.where(wanted)
+        dates = F.broadcast(served.select("source_date"))
+        return Snapshots(self.frame.join(dates, "source_date", "left_semi"), served)
+
     def in_months(self, months: DataFrame) -> DataFrame:
         """Rows for the given months (one row per month, so the broadcast is bounded)."""
         if self.served is None:
@@ -59,12 +69,10 @@ def as_snapshots(spark: SparkSession, dataset: str, given: DataFrame | Snapshots
     return given if isinstance(given, Snapshots) else Snapshots(given)
 
 
-def _fallback_rows(
-    loans: DataFrame, fallbacks: Sequence[Snapshots], mob: int
-) -> list[DataFrame]:
-    """Spine rows of months without loans at ``mob``, from the first dataset that has any.
+def _months_by_rank(loans: DataFrame, fallbacks: Sequence[Snapshots], mob: int) -> dict[int, list]:
+    """The months of the spine by what serves them: 0 for loans at ``mob``, then the first dataset with any rows.
 
-    The months are settled up front, a row per month, so the plan of the spine reads
+    They are settled up front, a row per month, so the plan of the spine reads
     only the datasets that serve some month, and none of them twice.
     """
     ranked = mob_filter(loans, mob).select("processing_date", F.lit(0).alias("rank")).distinct()
@@ -73,14 +81,21 @@ def _fallback_rows(
     first = ranked.where("processing_date is not null").groupBy("processing_date").agg(F.min("rank").alias("rank"))
     served: dict[int, list] = {}
     for month, rank in first.collect():
-        served.setdefault(rank, []).append((month,))
-    return [
-        dataset.in_months(loans.sparkSession.createDataFrame(sorted(served[rank]), "processing_date date"))
-        .select(*SPINE)
-        .distinct()
-        for rank, dataset in enumerate(fallbacks, start=1)
-        if rank in served
-    ]
+        served.setdefault(rank, []).append(month)
+    return {rank: sorted(months) for rank, months in sorted(served.items())}
+
+
+def _spine_rows(loans: DataFrame, dataset: Snapshots, months: Sequence) -> DataFrame:
+    wanted = loans.sparkSession.createDataFrame([(month,) for month in months], "processing_date date")
+    return dataset.in_months(wanted).select(*SPINE).distinct()
+
+
+def _fallback_rows(
+    loans: DataFrame, fallbacks: Sequence[Snapshots], mob: int
+) -> list[DataFrame]:
+    """Spine rows of months without loans at ``mob``, from the first dataset that has any."""
+    served = _months_by_rank(loans, fallbacks, mob)
+    return [_spine_rows(loans, fallbacks[rank - 1], months) for rank, months in served.items() if rank > 0]
 
 
 def feature_spine(
@@ -128,6 +143,10 @@ def spine_with_loan_features(
     rows = loan_partials(loans, SPINE, mob)
     for fallback in _fallback_rows(loans, fallbacks, mob):
         rows = rows.unionByName(fallback, allowMissingColumns=True)
+    return _with_loan_features(rows)
+
+
+def _with_loan_features(rows: DataFrame) -> DataFrame:
     month_of_customer = Window.partitionBy(*KEYS)
     merged = rows.withColumns(
         {
@@ -164,25 +183,47 @@ def feature_store(
     on_duplicate: str = "fanout",
     ratio: str = "signed",
     rows_per_split: int | None = 1_000_000,
+    co_located: bool = False,
 ) -> DataFrame:
     """Spine LEFT JOIN loan, financial, attribute and clickstream features.
 
     Joins match month and customer.  The columns are the same whichever dataset
-    is absent; an absent one contributes nulls.
+    is absent; an absent one contributes nulls.  ``co_located`` is for inputs that are laid out by
+    customer: a union forgets that layout, so months with loans and months of each fallback are
+    joined apart, each with its own months of the other sides, and come together at the end.
     """
     loan_rows, attributes, financials, clickstream = _inputs(
         loans, attributes, financials, clickstream
     )
-    store = spine_with_loan_features(
-        loan_rows.frame, (attributes, financials, clickstream), mob
-    )
     builders = (
         (financials, financial_features),
         (attributes, attribute_features),
         (clickstream, lambda df, keys: clickstream_features(df, keys, ratio)),
     )
+    fallbacks = (attributes, financials, clickstream)
     if on_duplicate != "fanout":
         rows_per_split = None
+    if not co_located:
+        spine = spine_with_loan_features(loan_rows.frame, fallbacks, mob)
+        return _with_features(spine, builders, on_duplicate, rows_per_split)
+    # Loans without a month have no right sides, but stay rows of the spine.
+    own = _with_loan_features(loan_partials(loan_rows.frame, SPINE, mob))
+    served = {0: []} | _months_by_rank(loan_rows.frame, fallbacks, mob)
+    parts = []
+    for rank, months in served.items():
+        spine = own
+        if rank > 0:
+            absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in own.schema.fields if f.name not in SPINE]
+            spine = _spine_rows(loan_rows.frame, fallbacks[rank - 1], months).select(*SPINE, *absent)
+        sides = [(dataset.only(months), build) for dataset, build in builders]
+        parts.append(_with_features(spine, sides, on_duplicate, rows_per_split))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_features(
+    store: DataFrame, builders: Sequence[tuple], on_duplicate: str, rows_per_split: int | None
+) -> DataFrame:
+    """A spine joined with the features of each side."""
     waiting: list[DataFrame] = []
     for dataset, build in builders:
         keys = (dataset.month_key, "Customer_ID")

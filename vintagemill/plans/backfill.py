@@ -3,7 +3,7 @@
 Layout below the store root::
 
     bronze/<dataset>         partitioned by source_date
-    silver/<dataset>         partitioned by source_date
+    silver/<dataset>         partitioned by source_date; by customer in buckets where asked for
     served/<dataset>         which source date serves which processing_date, for
                              datasets where that is not the month itself
     gold/feature_store       partitioned by processing_date
@@ -21,7 +21,9 @@ any input is an error and deletes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -36,7 +38,7 @@ from ..operators.changes import changed_days, day_fingerprints, months_to_rebuil
 from ..operators.labels import label_at_mob, label_within_window
 from ..operators.silver import CLEANERS, with_silver_metadata
 from ..operators.store import Snapshots, feature_store, with_gold_metadata
-from ..sources import metrics
+from ..sources import bucketed, metrics
 from ..sources.files import (
     drop_partitions,
     partition_files,
@@ -49,6 +51,7 @@ from ..sources.files import (
 
 DONE, MISSING, FAILED = "done", "missing", "failed"
 LOG_COLUMNS = ("layer", "dataset", "status", "error")
+BY_CUSTOMER = ("Customer_ID", "source_date")
 
 
 @dataclass
@@ -75,11 +78,16 @@ class JobLog:
 
 @dataclass
 class Store:
-    """A store below one root folder."""
+    """A store below one root folder.
+
+    With ``buckets`` the silver layer is laid out by customer in so many buckets, and the
+    feature store joins it without a shuffle.  A store keeps its number of buckets.
+    """
 
     spark: SparkSession
     root: str
     log: JobLog = field(default_factory=JobLog)
+    buckets: int | None = None
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -88,7 +96,18 @@ class Store:
         return table_exists(self.spark, self.path(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(layer, name))
+        path = self.path(layer, name)
+        rows = read_table(self.spark, path)
+        if not self._by_customer(layer):
+            return rows
+        return bucketed.read_bucketed(self.spark, self._table(layer, name), path, rows.schema, *BY_CUSTOMER, self.buckets)
+
+    def _by_customer(self, layer: str) -> bool:
+        return self.buckets is not None and layer == "silver"
+
+    def _table(self, layer: str, name: str) -> str:
+        """The catalog name of a table: its layout lies there, its rows below the root."""
+        return f"vintagemill_{layer}_{name}_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}"
 
     def write(
         self,
@@ -120,13 +139,12 @@ class Store:
         path = self.path(layer, inside)
         before = partition_files(self.spark, path, column)
         written = None if expected is None else metrics.WrittenRows(column, expected)
-        write_table(
-            df,
-            self.path(layer, name),
-            [*([] if level is None else [level[0]]), column],
-            rebalance,
-            written and written.attach,
-        )
+        observe = written and written.attach
+        if self._by_customer(layer):
+            bucketed.write_bucketed(df, self._table(layer, name), path, *BY_CUSTOMER, self.buckets, observe)
+        else:
+            partition_by = [*([] if level is None else [level[0]]), column]
+            write_table(df, self.path(layer, name), partition_by, rebalance, observe)
         after = partition_files(self.spark, path, column)
         if written is not None:
             metrics.store_counts(self.spark, self.path("counts", f"{layer}/{inside}"), written.rows(), after)
@@ -334,9 +352,11 @@ def _features(store: Store, mob: int, calendar: DataFrame | None, options: dict)
         raise ValueError("no silver layer to build features from")
     if inputs["loans"] is not None:
         inputs["loans"] = store.months("silver", "loans", calendar)
-    features = feature_store(**inputs, mob=mob, **options)
-    rows = with_gold_metadata(features, F.col("processing_date"), mob)
-    _rebuild(store, rows, "feature_store", calendar, list(DATASETS))
+    # Months and customers meet where the customers lie.
+    with bucketed.co_partitioned(store.spark) if store.buckets else nullcontext():
+        features = feature_store(**inputs, mob=mob, co_located=store.buckets is not None, **options)
+        rows = with_gold_metadata(features, F.col("processing_date"), mob)
+        _rebuild(store, rows, "feature_store", calendar, list(DATASETS))
     return True
 
 

@@ -1169,3 +1169,6 @@ attribute_features AS (
         FROM served""",
     ),
 }
+
+# The layout of a layer changes no result.
+ORACLE_SQL["backfill_features_bucketed"] = ORACLE_SQL["backfill_features"]

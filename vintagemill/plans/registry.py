@@ -651,9 +651,9 @@ def src_month_labelled(spark, d):
     return labelled.select("loan_id", "snapshot_date", "data_month")
 
 
-def _bronze_store(spark, d, datasets=tuple(DATASETS)):
+def _bronze_store(spark, d, datasets=tuple(DATASETS), **options):
     """A store whose bronze layer holds the given datasets for every month."""
-    target = backfill.Store(spark, files.scratch_folder(spark))
+    target = backfill.Store(spark, files.scratch_folder(spark), **options)
     sources = {name: star.RAW[name](spark, d) for name in datasets}
     backfill.run_bronze(target, sources, _months(spark, d))
     return target
@@ -681,6 +681,15 @@ def backfill_features(spark, d):
     return _checked(target).read("gold", "feature_store").drop("gold_processing_timestamp")
 
 
+@query
+def backfill_features_bucketed(spark, d):
+    """The feature store joined from a silver layer that is laid out by customer."""
+    target = _bronze_store(spark, d, buckets=8)
+    backfill.run_silver(target)
+    backfill.run_features(target)
+    return _checked(target).read("gold", "feature_store").drop("gold_processing_timestamp")
+
+
 @query
 def backfill_labels(spark, d):
     """The label store by way of stored bronze and silver layers."""
