@@ -121,6 +121,27 @@ def test_stored_store_equals_the_one_in_memory(spark, source, tmp_path):
     assert rows(stored) == rows(direct)
 
 
+def test_buckets_change_no_result(spark, source, tmp_path):
+    """A store laid out by customer, run twice, of which the second run lacks a month."""
+    found = []
+    for name, options in (("plain", []), ("bucketed", ["--buckets", "2"])):
+        root = str(tmp_path / name)
+        assert run(spark, source, root, *options) == 0
+        store = backfill.Store(spark, root, buckets=2 if options else None)
+        first = [rows(store.read("gold", table)) for table in ("feature_store", "label_store")]
+        months = month_calendar(spark, FEB, FEB)
+        loans = files.read_csv_strings(spark, f"{source}/{DATASETS['loans'].source_file}")
+        backfill.run_bronze(store, {"loans": loans.where("Customer_ID = 'none'")}, months)
+        backfill.run_silver(store, calendar=months)
+        backfill.run_features(store)
+        assert not store.log.failures()
+        assert store.days("silver", "loans") == {"2023-01-01", "2023-03-01"}
+        report = backfill.run_report(store, months, "gold")
+        second = rows(store.read("gold", "feature_store"))
+        found.append((first, second, rows(report)))
+    assert found[0] == found[1] and all(found[0][0])
+
+
 def test_undated_dataset_serves_every_month(spark, tmp_path):
     store = backfill.Store(spark, str(tmp_path / "store"))
     undated = spark.createDataFrame([("a", "30"), ("b", "40")], "Customer_ID string, Age string")

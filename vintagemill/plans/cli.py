@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
         metavar="DATASET=POLICY",
         help=f"what an empty month of a dataset takes: {', '.join(FALLBACK_POLICIES)}",
     )
+    p.add_argument("--buckets", type=int, help="lay silver out by customer in so many buckets")
     p.add_argument(
         "--label-type", choices=("within_window", "at_mob", "ever_in_window"), default="within_window"
     )
@@ -73,7 +74,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     calendar = month_calendar(spark, first, last)
     datasets = args.dataset or list(DATASETS)
     specs = dataset_specs(args.fallback)
-    store = Store(spark, args.root)
+    store = Store(spark, args.root, buckets=args.buckets)
     layers = LAYERS if args.layer == "all" else (args.layer,)
     if "bronze" in layers:
         paths = {name: f"{args.source}/{DATASETS[name].source_file}" for name in datasets}
