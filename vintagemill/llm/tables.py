@@ -15,12 +15,21 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
-    It cuts the lineage and survives lost executors, unlike a cache.
+    It cuts the lineage and survives lost executors, unlike a cache.  With ``free``
+    the shuffle files of the write are removed when it is done.
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, str(free or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE, before)
     return spark.read.schema(df.schema).parquet(path)
