@@ -203,3 +203,17 @@ def test_pipeline_on_edges(spark, edge, nothing, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, folder)
         assert frame.count() <= docs.count() * 3
+
+
+def test_digest_is_of_the_training_order(spark, monkeypatch):
+    """Words taken and positions are those of the copies in the mix, not of the plan."""
+    docs = spark.createDataFrame(
+        [(i, "a " * (i % 7), "xyz"[i % 3]) for i in range(60)] + [(None, "b b", None), (None, "b b", None)],
+        "doc_id long, text string, source string",
+    )
+    whole = {tuple(r) for r in mixing.digest(docs).select("doc_id", "size", "taken", "position").collect()}
+    assert len(mixing.digest(docs).collect()) == 62 and any(taken > size for _, size, taken, _ in whole)
+    order = mixing.training_order
+    monkeypatch.setattr(mixing, "training_order", lambda planned: order(planned).where("epoch = 0"))
+    once = mixing.digest(docs).collect()
+    assert len(once) == 62 and all(r.taken in (0, r.size) for r in once)

@@ -239,18 +239,23 @@ def mix(docs: DataFrame, schedules=SCHEDULES, **options) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Words that the mix takes of each document, and the time its first copy is due (or null)."""
-    # Texts are read once; the sums, ranges and ranks of the plan are made of these narrow rows.
+    """Words that the mix holds of each document, and the time its first copy is due (or null).
+
+    Both are taken from the copies of the mix in training order; documents without a copy follow from the plan.
+    """
+    # Texts are read once; the plan and the mix are made of these narrow rows.
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    due = due_time(first_word(F.lit(0)) / F.col("target"), F.col("place"))
-    return plan_mix(sized, ["doc_id", "size"]).select(
-        "doc_id",
-        "size",
-        "source_size",
-        F.col("target").cast("double").alias("target"),
-        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
-        F.when(F.col("copies") > 0, F.round(due, 6)).alias("position"),
+    planned = written(plan_mix(sized, ["doc_id", "size"]), "plan")
+    mixed = written(training_order(planned), "mix")
+    # A document with words has a place among those of its source that no other row has.
+    found = mixed.groupBy("place", "before", "doc_id", "size", "source_size", "target").agg(
+        F.sum("size").alias("taken"), F.round(F.min("position"), 6).alias("position")
+    )
+    left = planned.where("copies = 0").withColumns(
+        {"taken": F.lit(0).cast("long"), "position": F.lit(None).cast("double")}
     )
+    columns = ["doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", "position"]
+    return found.select(*columns).unionByName(left.select(*columns))
 
 
 def op7_curriculum_mix(spark, folder: str) -> DataFrame:
