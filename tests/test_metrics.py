@@ -135,3 +135,14 @@ def test_report_after_a_run_of_one_month(spark, tmp_path):
     report = backfill.run_report(store, months).collect()
     assert {(r.status, r.rows) for r in report} == {("failed", 0)} and "unreadable" in report[0].error
     assert {r.processing_date: r.rows for r in backfill.month_counts(store, "bronze", "loans").collect()} == {JAN: 1, FEB: 1}
+
+
+def test_many_partitions_cost_a_row_no_more(spark, tmp_path):
+    """One look-up per row, however many partitions are known; the counts of all of them are exact."""
+    days = [JAN + dt.timedelta(days=i) for i in range(1500)]
+    rows = [(day, x) for i, day in enumerate(days) for x in range(i % 3 + 1)]
+    written = metrics.WrittenRows("day", {str(day) for day in days})
+    observed = written.attach(table(spark, rows))
+    assert observed._jdf.queryExecution().analyzed().toString().count("2023-") == 0
+    observed.write.format("noop").mode("overwrite").save()
+    assert written.rows() == {str(day): i % 3 + 1 for i, day in enumerate(days)}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .files import partition_files, read_table, table_exists, write_table
 
-ALL_ROWS = "_rows"
+ALL_ROWS, BY_VALUE = "_rows", "_rows_by_value"
 COUNTED = "rows bigint, digest string, partition string"
 
 
@@ -22,27 +22,29 @@ class WrittenRows:
     """Counts the rows of known partitions while a table is written.
 
     The metric sits in the last stage of the write, whose tasks count once however often the stages
-    before it are run again.  Its cost is one comparison per row and partition, and there is a
-    partition per month.
+    before it are run again.  It looks up each row's partition once, however many there are: the
+    sketch of the most frequent values counts exactly while it has room for all, and it has room for
+    the known ones.  Beyond, its counts no longer add up to the rows, and none is used.
     """
 
     def __init__(self, column: str, values: Collection[str]) -> None:
         self.column, self.values = column, sorted(values)
+        # A sketch is exact below three quarters of the values that it tracks, which are at most a million.
+        self._tracked = min(max(1024, 2 * len(self.values)), 1_000_000)
         self._observation = Observation()
 
     def attach(self, df: DataFrame) -> DataFrame:
         """The frame to write, with its counts."""
-        kind = df.schema[self.column].dataType
-        per_value = [
-            F.count_if(F.col(self.column) == F.lit(value).cast(kind)).alias(value) for value in self.values
-        ]
-        return df.observe(self._observation, F.count(F.lit(1)).alias(ALL_ROWS), *per_value)
+        value = F.col(self.column)
+        most = F.call_function("approx_top_k", value, F.lit(self._tracked), F.lit(self._tracked))
+        return df.observe(self._observation, F.count(F.lit(1)).alias(ALL_ROWS), most.alias(BY_VALUE))
 
     def rows(self) -> dict[str, int]:
         """Rows of each partition, after the write.  Empty if there were rows of no known partition."""
-        found = dict(self._observation.get)
-        total = found.pop(ALL_ROWS)
-        return {value: n for value, n in found.items() if n} if sum(found.values()) == total else {}
+        found = self._observation.get
+        known = set(self.values)
+        counts = {str(value): n for value, n in found[BY_VALUE] or () if str(value) in known}
+        return counts if sum(counts.values()) == found[ALL_ROWS] else {}
 
 
 def _digest(files: Collection[str]) -> str:
