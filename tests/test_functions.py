@@ -119,3 +119,11 @@ def test_snapshot_date_argument():
     assert parse_snapshot_date("1/5/2023") == D(2023, 1, 5)
     with pytest.raises(ValueError):
         parse_snapshot_date("5 Jan 2023")
+
+
+def test_iso_text_is_that_of_date_format(spark, ansi):
+    days = [(D(1995, 1, 31), dt.datetime(2002, 3, 31, 2, 30)), (D(2024, 2, 29), None), (None, dt.datetime(1969, 12, 31, 23, 59))]
+    df = spark.createDataFrame(days, "d date, t timestamp")
+    for c in ("d", "t"):
+        both = df.select(parsing.iso_text(F.col(c)).alias("cast"), F.date_format(c, "yyyy-MM-dd").alias("formatted"))
+        assert all(r["cast"] == r.formatted for r in both.collect())

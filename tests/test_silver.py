@@ -140,3 +140,13 @@ def test_clickstream(spark, ansi):
 def test_clickstream_without_features(spark):
     df = silver.silver_clickstream(rows(spark, {"Customer_ID": "C1"}))
     assert df.columns == ["Customer_ID"]
+
+
+def test_no_cleaner_is_too_long_to_be_compiled(spark, tmp_path, capsys):
+    """The JVM only interprets methods beyond 8,000 bytes, so a stage of all numbers must stay below."""
+    names = ("Customer_ID", *silver.FINANCIAL_TEXT, *silver.FINANCIAL_NUMBERS, "snapshot_date")
+    path = str(tmp_path / "raw")
+    rows(spark, dict.fromkeys(names, "1")).write.parquet(path)
+    silver.silver_financials(spark.read.parquet(path)).explain("codegen")
+    sizes = [int(part.split(";")[0]) for part in capsys.readouterr().out.split("maxMethodCodeSize:")[1:]]
+    assert all(size <= 8000 for size in sizes)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SKIP
-from ..functions.parsing import normalize_date, snapshot_day
+from ..functions.parsing import iso_text, normalize_date, snapshot_day
 from .calendar import available_dates, source_map
 
 DATE_COLUMN = "snapshot_date"
@@ -104,6 +104,6 @@ def with_bronze_lineage(
         {
             "bronze_ingestion_timestamp": F.current_timestamp(),
             "bronze_source_file": source,
-            "bronze_processing_date": F.date_format(processing_date, "yyyy-MM-dd"),
+            "bronze_processing_date": iso_text(processing_date),
         }
     )

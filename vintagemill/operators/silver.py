@@ -13,6 +13,7 @@ from ..functions.parsing import (
     clean_occupation,
     clean_text,
     is_valid_ssn,
+    iso_text,
     letters_only,
     parse_date,
     parse_int,
@@ -163,7 +164,7 @@ def with_silver_metadata(df: DataFrame, processing_date: Column) -> DataFrame:
     return df.withColumns(
         {
             "silver_processing_timestamp": F.current_timestamp(),
-            "silver_processing_date": F.date_format(processing_date, "yyyy-MM-dd"),
+            "silver_processing_date": iso_text(processing_date),
         }
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FEATURE_MOB, FEATURE_STORE_VERSION
+from ..functions.parsing import iso_text
 from ..schemas import empty_silver
 from .features import (
     KEYS,
@@ -247,7 +248,7 @@ def with_gold_metadata(
     return df.withColumns(
         {
             "gold_processing_timestamp": F.current_timestamp(),
-            "gold_processing_date": F.date_format(processing_date, "yyyy-MM-dd"),
+            "gold_processing_date": iso_text(processing_date),
             "feature_store_version": F.lit(version),
             "feature_mob": F.lit(mob),
         }

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.parsing import iso_text
+
 # Event types in alphabetical order; the i-th feeds ``fe_i``.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 # Occupations by customer key modulo eight; the last one is null.
@@ -43,10 +45,6 @@ def _divides(key: Column, n: int) -> Column:
     return key % n == 0
 
 
-def _iso(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
-
-
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw loan row per order and line number; the line number is the month."""
     items = (
@@ -72,7 +70,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(orders, "l_orderkey").select(
         F.concat(F.lit("L"), "l_orderkey").alias("loan_id"),
         F.concat(F.lit("C"), "o_custkey").alias("Customer_ID"),
-        _iso(F.col("o_orderdate")).alias("loan_start_date"),
+        iso_text(F.col("o_orderdate")).alias("loan_start_date"),
         F.lit("10").alias("tenure"),
         month.cast("string").alias("installment_num"),
         _whole(price).alias("loan_amt"),
@@ -80,7 +78,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         _whole(F.when(overdue > 0, 0.0).otherwise(due)).alias("paid_amt"),
         _whole(overdue).alias("overdue_amt"),
         _whole(F.round(price) - month * installment).alias("balance"),
-        _iso(F.add_months(F.trunc("o_orderdate", "MM"), month)).alias("snapshot_date"),
+        iso_text(F.add_months(F.trunc("o_orderdate", "MM"), month)).alias("snapshot_date"),
     )
 
 
@@ -110,7 +108,7 @@ def _snapshot_text() -> Column:
     """ISO text for even customer keys, month/day/year text for odd ones."""
     month = F.col("month")
     slashed = F.date_format(month, "M/d/yyyy")
-    return F.when(_divides(F.col("c_custkey"), 2), _iso(month)).otherwise(slashed)
+    return F.when(_divides(F.col("c_custkey"), 2), iso_text(month)).otherwise(slashed)
 
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +189,7 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_user.select(
         F.concat(F.lit("C"), "user_id").alias("Customer_ID"),
         *[f"fe_{i}" for i in range(1, len(EVENT_TYPES) + 1)],
-        _iso(F.col("month")).alias("snapshot_date"),
+        iso_text(F.col("month")).alias("snapshot_date"),
     )
 
 
