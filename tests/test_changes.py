@@ -75,3 +75,14 @@ def test_walk_through_the_month_map_and_refresh(spark, tmp_path):
         )
         assert one == other and len(one) == 4
         assert store.days(layer, "attributes") == fresh.days(layer, "attributes")
+
+
+def test_a_source_is_read_once_for_its_changes(spark, tmp_path):
+    """What comes of the fingerprints does not read the source again."""
+    path, months = str(tmp_path / "source"), month_calendar(spark, JAN, APR)
+    frame(spark, BASE).withColumn("snapshot_date", F.col("snapshot_date").cast("string")).write.parquet(path)
+    store = backfill.Store(spark, str(tmp_path / "store"))
+    found = backfill.changed_months(store, {"attributes": spark.read.parquet(path)}, months)["attributes"]
+    assert {r.processing_date for r in found.collect()} == {JAN, FEB, MAR}
+    assert path not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(path in file for file in found.inputFiles())

@@ -45,6 +45,7 @@ from ..sources.files import (
     path_exists,
     read_csv_strings,
     read_table,
+    scratch_folder,
     table_exists,
     write_table,
 )
@@ -459,7 +460,7 @@ def changed_months(
 ) -> dict[str, DataFrame]:
     """The months of each dated source that differ from what the store was filled from.
 
-    Days are compared by fingerprint, one pass per source; the walk to months goes through the
+    Days are compared by fingerprint, one pass per source, whose row per day is written; the walk to months goes through the
     stored month map and the one that the source would get now, so a month that takes a
     changed date, or another date than before, is named.
     """
@@ -467,7 +468,10 @@ def changed_months(
     for name, source in sources.items():
         spec = specs[name]
         day = snapshot_day(F.col(spec.date_column))
+        path = f"{scratch_folder(store.spark)}/{name}"
         new = day_fingerprints(source, day)
+        new.write.parquet(path)
+        new = store.spark.read.schema(new.schema).parquet(path)
         old = store.read("fingerprints", name) if store.has("fingerprints", name) else new.limit(0)
         was = store.served(name, calendar)
         if was is None:

@@ -773,9 +773,7 @@ def changed_months(spark, d):
     backfill.run_bronze(target, sources, months, specs)
     _checked(target)
     backfill.store_fingerprints(target, sources, specs)
-    first, last = (
-        sources["loans"].agg(f("loan_id").alias("loan_id")).scalar() for f in (F.min, F.max)
-    )
+    first, last = sources["loans"].agg(F.min("loan_id"), F.max("loan_id")).first()
     month, start = F.col("snapshot_date"), F.col("installment_num") == "0"
     loans = sources["loans"].withColumns(
         {
