@@ -405,6 +405,75 @@ def test_each_row_of_a_block_gets_its_own_words():
     assert words[3] == (1, 25, 89)
 
 
+def brute_words(view, doc, group, place, left, is_open, settings) -> dict[int, set[int]]:
+    """Words in close windows of the rows that may get some: open rows of any other, settled ones of open rows."""
+    length, spare, found = settings.length, settings.spare, defaultdict(set)
+    for i in range(len(doc)):
+        own = view[i][spare : len(view[i]) - spare]
+        for j in range(len(doc)):
+            if group[i] != group[j] or doc[i] == doc[j] or not (is_open[i] or is_open[j]):
+                continue
+            shared = np.isin(own, view[j][view[j] != 0])
+            for k in range(length):
+                if own[k : k + length].all() and shared[k : k + length].sum() >= settings.matches:
+                    start = place[i] + k - length + 1
+                    found[int(doc[i])] |= set(range(start, start + length + settings.words - 1))
+    return found
+
+
+@pytest.mark.parametrize("few", [0, 256])
+def test_groups_of_a_block_and_repeated_lines(monkeypatch, few):
+    monkeypatch.setattr(passages, "_FEW", few)
+    settings, rng = passages.Settings(), np.random.default_rng(11)
+    texts, group, base = [], [], rng.integers(1, 10**9, 200)
+    for g in range(6):
+        line = rng.integers(1, 10**9, 9)
+        for k in range(7):
+            if k < 3:
+                # Repeated lines, each turned by some words and some with an edit.
+                text = np.tile(np.roll(line, k), 22)
+                text[rng.integers(0, len(text), k)] = rng.integers(1, 10**9, k)
+            else:
+                text = np.concatenate((rng.integers(1, 10**9, 40), base[k * 10 : k * 10 + 90], line))
+                text[rng.integers(0, len(text), 2)] = rng.integers(1, 10**9, 2)
+            texts.append(text)
+            group.append(g)
+    group = np.repeat(group, 3)
+    place = np.concatenate([rng.integers(0, len(x), 3) for x in texts])
+    # The documents of a group are those of the others too.
+    doc = np.tile(np.repeat(np.arange(7), 3), 6) + 100 * (group > 3)
+    view = views([texts[i // 3] for i in range(len(place))], place.tolist(), settings)
+    is_open = rng.random(len(doc)) < 0.5
+    left = np.flatnonzero(is_open)
+    got = defaultdict(set)
+    args = doc, place, left, np.arange(len(doc)), is_open, settings, group
+    for _, hub, of, start, end in passages.compared(view, *args):
+        assert hub != of
+        got[of] |= set(range(start, end))
+    assert got == brute_words(view, doc, group, place, left, is_open, settings)
+    assert got
+
+
+def test_rows_that_share_a_short_line_alone_are_not_compared(monkeypatch):
+    settings, rng, asked = passages.Settings(), np.random.default_rng(12), []
+
+    def counted(ids, group, rank, rows, others, settings):
+        asked.append(len(rows))
+        return iter(())
+
+    monkeypatch.setattr(passages, "_nearest", counted)
+    width = 2 * (settings.length + settings.spare) - 1
+    view = rng.integers(1, 2**32, (3000, width)).astype(np.uint32)
+    view[:, width // 2 - 5 : width // 2 + 5] = np.arange(1, 11)
+    # Rows of one document share all they have with each other.
+    view[:1000] = view[0]
+    doc = np.concatenate((np.zeros(1000, dtype=np.int64), np.arange(1, 2001)))
+    rows = np.arange(3000)
+    is_open = np.ones(3000, dtype=bool)
+    assert passages.compared(view, doc, np.full(3000, 200), rows, rows, is_open, settings) == []
+    assert sum(asked) == 0
+
+
 @pytest.mark.parametrize("edit", ["changed", "inserted"])
 def test_short_near_copies_share_a_signature(edit):
     settings, rng, trials = passages.Settings(), np.random.default_rng(5), 2000
